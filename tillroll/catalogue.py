@@ -38,12 +38,8 @@ def _cleaned_star(raw: DataFrame) -> Star:
     return star.build_star(cleaning.clean(raw))
 
 
-def _trimmed(raw: DataFrame) -> DataFrame:
-    return raw.transform(cleaning.standard_names).transform(cleaning.trim_text)
-
-
 def _numbers(raw: DataFrame) -> DataFrame:
-    return raw.transform(_trimmed).transform(cleaning.null_tokens).transform(cleaning.parse_numbers)
+    return raw.transform(cleaning.standard_names).transform(cleaning.parse_numbers)
 
 
 def _null_tokens(raw: DataFrame) -> DataFrame:
@@ -52,13 +48,13 @@ def _null_tokens(raw: DataFrame) -> DataFrame:
 
 
 def _trim(raw: DataFrame) -> DataFrame:
-    return _trimmed(raw).select("customer_name", "segment", "product_id")
+    trimmed = raw.transform(cleaning.standard_names).transform(cleaning.trim_text)
+    return trimmed.select("customer_name", "segment", "product_id")
 
 
 def _parse_dates(raw: DataFrame) -> DataFrame:
-    return _trimmed(raw).transform(cleaning.parse_dates).select(
-        "order_date", "ship_date", "product_id"
-    )
+    dated = raw.transform(cleaning.standard_names).transform(cleaning.parse_dates)
+    return dated.select("order_date", "ship_date", "product_id")
 
 
 def _parse_numbers(raw: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Everything Python's str.strip removes.
-_SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+# White space in the sense of Python's str.strip.
+_SPACES = [chr(i) for i in range(0x3001) if chr(i).isspace()]
 
 
 def canonical_name(header: str, aliases: dict[str, str]) -> str:
@@ -19,11 +19,31 @@ def canonical_name(header: str, aliases: dict[str, str]) -> str:
     return aliases.get(plain, plain)
 
 
-def trimmed(cell: Column) -> Column:
-    """Cell without surrounding white space of any kind; blank cells become NULL."""
-    return F.nullif(F.btrim(cell, F.lit(_SPACES)), F.lit(""))
+def _padded(cell: Column) -> Column:
+    return F.left(cell, F.lit(1)).isin(_SPACES) | F.right(cell, F.lit(1)).isin(_SPACES)
+
+
+def _bare(cell: Column) -> Column:
+    return F.btrim(cell, F.lit("".join(_SPACES)))
+
+
+def stripped(cell: Column) -> Column:
+    """Cell without surrounding white space of any kind.
+
+    Trimming by a character list costs several times a look at both ends, and
+    few cells need it.
+    """
+    return F.when(_padded(cell), _bare(cell)).otherwise(cell)
 
 
 def without_tokens(cell: Column, tokens: Iterable[str]) -> Column:
     """NULL where the whole cell is one of the missing-value tokens (case-sensitive)."""
     return F.when(~cell.isin(list(tokens)), cell)
+
+
+def tidied(cell: Column, tokens: Iterable[str]) -> Column:
+    """Stripped cell, NULL where what remains is a missing-value token."""
+    listed = list(tokens)
+    return F.when(_padded(cell), without_tokens(_bare(cell), listed)).otherwise(
+        without_tokens(cell, listed)
+    )

@@ -8,7 +8,7 @@ discount scale before derived sales, duplicates before incomplete rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StringType
 
 from ..functions.parse import parsed_date, parsed_number
-from ..functions.text import canonical_name, trimmed, without_tokens
+from ..functions.text import canonical_name, tidied, without_tokens
 from ..schemas import (
     CLEAN_LINE,
     COLUMN_ALIASES,
@@ -54,7 +54,7 @@ def _on_text(df: DataFrame, change) -> DataFrame:
 
 def trim_text(df: DataFrame) -> DataFrame:
     """Strip white space of any kind from all text columns; blanks become NULL."""
-    return _on_text(df, trimmed)
+    return _on_text(df, lambda cell: tidied(cell, [""]))
 
 
 def null_tokens(df: DataFrame, tokens: Iterable[str] = ALL_TOKENS) -> DataFrame:
@@ -75,23 +75,26 @@ def parse_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: parsed_number(F.col(c)) for c in present})
 
 
-def normalise_discount(df: DataFrame, scale: str = "auto") -> DataFrame:
+def normalise_discount(
+    df: DataFrame, scale: str = "auto", discounts: DataFrame | None = None
+) -> DataFrame:
     """Discounts as fractions of one.
 
     ``auto`` divides by 100 when the largest discount of the whole input exceeds
-    one; the maximum is a scalar subquery over the one column, nothing reaches
-    the driver. A batch that is appended to older data should name its scale
-    (``fraction`` or ``percent``), as its own maximum may mislead.
+    one; the maximum is a scalar subquery over the one column (taken from
+    ``discounts`` where that is cheaper to read), nothing reaches the driver. A
+    batch that is appended to older data should name its scale (``fraction`` or
+    ``percent``), as its own maximum may mislead.
     """
     if scale not in ("auto", "fraction", "percent"):
         raise ValueError(f"unknown discount scale {scale!r}")
     if "discount" not in df.columns or scale == "fraction":
         return df
-    hundredth = F.col("discount") / F.lit(100.0)
-    if scale == "percent":
-        return df.withColumn("discount", hundredth)
-    largest = df.agg(F.max("discount")).scalar()
-    return df.withColumn("discount", F.when(largest > 1, hundredth).otherwise(F.col("discount")))
+    unit = F.lit(100.0)
+    if scale == "auto":
+        largest = (df if discounts is None else discounts).agg(F.max("discount")).scalar()
+        unit = F.when(largest > 1, unit).otherwise(F.lit(1.0))
+    return df.withColumn("discount", F.col("discount") / unit)
 
 
 def derive_sales(df: DataFrame) -> DataFrame:
@@ -185,6 +188,61 @@ def add_customer_key(df: DataFrame) -> DataFrame:
     return df.join(keys, F.col(source) == F.col("_name"), "left").select(*others, key)
 
 
+def _cell_rules(
+    columns: Iterable[str], tokens: Sequence[str], formats: Sequence[str], strict_order: bool
+) -> dict[str, Callable[[Column], Column]]:
+    """How to read each column.
+
+    Dates and numbers are read from the raw cell, as the default tokens are
+    neither; only tokens that the caller adds are taken out before.
+    """
+    added = sorted({*tokens} - {*ALL_TOKENS})
+    nothing = sorted({*tokens, ""})
+
+    def raw(cell: Column) -> Column:
+        return without_tokens(cell, added) if added else cell
+
+    def text(cell: Column) -> Column:
+        if strict_order:
+            return tidied(without_tokens(cell, tokens), [""])
+        return tidied(cell, nothing)
+
+    def rule(column: str) -> Callable[[Column], Column]:
+        if column in DATE_COLUMNS:
+            return lambda cell: parsed_date(raw(cell), formats)
+        if column in NUMBER_COLUMNS:
+            return lambda cell: parsed_number(raw(cell))
+        return text
+
+    return {c: rule(c) for c in columns if c != MALFORMED}
+
+
+def read_cells(
+    df: DataFrame,
+    tokens: Iterable[str] = ALL_TOKENS,
+    formats: Sequence[str] = DATE_FORMATS,
+    strict_order: bool = False,
+) -> DataFrame:
+    """All cells parsed, stripped and freed of tokens in one go.
+
+    With ``strict_order`` tokens are looked for before trimming, so that a padded
+    token stays text.
+
+    The row passes through ``inline`` as a whole. Written as twenty projected
+    columns the rules would fill a generated method beyond the size that the JVM
+    compiles, and a filter on a parsed column would be pushed down and repeat the
+    parsing; here each cell is read once.
+    """
+    rules = _cell_rules(df.columns, list(tokens), formats, strict_order)
+
+    def read(row: Column) -> Column:
+        cells = ((c, row.getField(c)) for c in df.columns)
+        return F.struct(*((rules[c](v) if c in rules else v).alias(c) for c, v in cells))
+
+    whole_row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    return df.select(F.inline(F.transform(F.array(whole_row), read)))
+
+
 def parsed(
     raw: DataFrame,
     aliases: Mapping[str, str] = COLUMN_ALIASES,
@@ -193,24 +251,14 @@ def parsed(
     scale: str = "auto",
     strict_order: bool = False,
 ) -> DataFrame:
-    """All row-wise steps: names, blanks, tokens, types, discount scale, derived measures.
-
-    ``strict_order`` looks for tokens before trimming, so that a padded token
-    stays text.
-    """
-    listed = list(tokens)
-    steps = [trim_text, lambda d: null_tokens(d, listed)]
-    steps = [
-        lambda d: standard_names(d, aliases),
-        *(reversed(steps) if strict_order else steps),
-        lambda d: parse_dates(d, formats),
-        parse_numbers,
-        lambda d: normalise_discount(d, scale),
-        derive_sales,
-        derive_profit,
-        require_columns,
-    ]
-    return reduce(DataFrame.transform, steps, raw)
+    """All row-wise steps: names, cells, discount scale, derived measures."""
+    options = {"tokens": list(tokens), "formats": formats, "strict_order": strict_order}
+    named = standard_names(raw, aliases)
+    lines = read_cells(named, **options)
+    if "discount" in named.columns:
+        discounts = read_cells(named.select("discount"), **options)
+        lines = normalise_discount(lines, scale, discounts)
+    return lines.transform(derive_sales).transform(derive_profit).transform(require_columns)
 
 
 def clean(raw: DataFrame, **options) -> DataFrame:

@@ -496,7 +496,7 @@ keys as (
 )
 select order_line_id, l.customer_name,
        case when keys.n is null then 'C-00001'
-            else 'C' || lpad(cast(n as varchar), greatest(6, length(cast(n as varchar))), '0')
+            else 'C' || lpad(cast(n as varchar), cast(greatest(6, length(cast(n as varchar))) as int), '0')
        end as customer_id
 from lines l left join keys on keys.customer_name = l.customer_name"""
 
