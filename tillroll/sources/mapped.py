@@ -70,10 +70,11 @@ def mapped_star(spark: SparkSession, folder: str) -> Star:
     sales = (_money("l_extendedprice") * (1 - F.col("discount"))).cast(MONEY)
     paid = (F.col("cost") * F.col("l_quantity").cast("decimal(4,0)")).cast(MONEY)
     lines = (
-        lineitem.withColumn("discount", _discount())
-        .join(orders, lineitem.l_orderkey == orders.o_orderkey)
+        # Lines and orders both grow with the data: neither is a side to broadcast.
+        lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey)
         .join(customer.select("c_custkey", "c_nationkey"), F.col("c_custkey") == orders.o_custkey)
         .join(part.select("p_partkey", cost.alias("cost")), F.col("p_partkey") == F.col("l_partkey"))
+        .withColumn("discount", _discount())
         .withColumn("sales", sales)
         .select(
             F.col("l_orderkey").cast("string").alias("order_id"),
