@@ -12,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import stripped
+from .text import tidied
 
 def parsed_date(cell: Column, formats: Sequence[str]) -> Column:
     """Date where one of the formats reads the whole cell; does not depend on other rows."""
+    # Optional sections: one parse per cell, and no failed attempt for the later formats.
     either = "".join(f"[{f}]" for f in formats)
-    return F.try_to_date(stripped(cell), either)
+    # A pattern of nothing but optional sections would also read an empty cell.
+    return F.try_to_date(tidied(cell, [""]), either)
 
 
 def parsed_number(cell: Column) -> Column:

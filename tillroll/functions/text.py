@@ -27,22 +27,17 @@ def _bare(cell: Column) -> Column:
     return F.btrim(cell, F.lit("".join(_SPACES)))
 
 
-def stripped(cell: Column) -> Column:
-    """Cell without surrounding white space of any kind.
-
-    Trimming by a character list costs several times a look at both ends, and
-    few cells need it.
-    """
-    return F.when(_padded(cell), _bare(cell)).otherwise(cell)
-
-
 def without_tokens(cell: Column, tokens: Iterable[str]) -> Column:
     """NULL where the whole cell is one of the missing-value tokens (case-sensitive)."""
     return F.when(~cell.isin(list(tokens)), cell)
 
 
 def tidied(cell: Column, tokens: Iterable[str]) -> Column:
-    """Stripped cell, NULL where what remains is a missing-value token."""
+    """Cell without surrounding white space, NULL where what remains is one of ``tokens``.
+
+    Trimming by a character list costs several times a look at both ends, and
+    few cells need it.
+    """
     listed = list(tokens)
     return F.when(_padded(cell), without_tokens(_bare(cell), listed)).otherwise(
         without_tokens(cell, listed)
