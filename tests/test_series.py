@@ -126,6 +126,19 @@ def test_filters(spark):
     assert options == {("region", "North"), ("category", "Office"), ("category", "Kitchen")}
 
 
+def test_slicers_apply_to_any_report(spark):
+    lines = [line(1, day=_month(1)), line(2, product="p2", day=_month(2)), line(3, location=None)]
+    star = small_star(spark, lines)
+    for choice, want in (
+        ({}, 20),
+        ({"regions": ["North"]}, 20),
+        ({"regions": ["South"]}, None),
+        ({"categories": ["Kitchen"]}, 10),
+        ({"dates": (_month(2), _month(2))}, 10),
+    ):
+        assert measures.totals(measures.sliced(star, **choice)).first()["total_sales"] == want
+
+
 def test_figures_of_nothing(spark):
     empty = dashboard.filtered_lines(
         views.dashboard_base(small_star(spark, [line(1)])), regions=["nowhere"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +112,13 @@ def _with_location_text(raw: DataFrame) -> DataFrame:
     )
 
 
+# A reader's choice on the report page.
+EXAMPLE_SLICERS = {
+    "regions": ["ASIA", "EUROPE"],
+    "categories": ["ECONOMY", "STANDARD"],
+    "dates": (dt.date(1996, 1, 1), dt.date(1998, 12, 31)),
+}
+
 QUERIES: dict[str, Query] = {
     # cleaning
     "clean_null_tokens": _over_export(_null_tokens),
@@ -172,6 +180,9 @@ QUERIES: dict[str, Query] = {
     ),
     # measures
     "measure_totals": _over_star(measures.totals),
+    "measure_totals_sliced": _over_star(
+        lambda built: measures.totals(measures.sliced(built, **EXAMPLE_SLICERS))
+    ),
     "sales_ytd": _over_star(measures.sales_ytd),
     "calendar": _over_star(measures.calendar),
     "mom_calendar": _over_star(measures.mom_calendar),

@@ -231,6 +231,12 @@ _OVER_LINES = {
         select {_MONEY},
                cast(sum(profit) as double) / nullif(cast(sum(sales) as double), 0) as profit_margin
         from lines""",
+    "measure_totals_sliced": f"""
+        select {_MONEY},
+               cast(sum(profit) as double) / nullif(cast(sum(sales) as double), 0) as profit_margin
+        from lines
+        where region in ('ASIA', 'EUROPE') and category in ('ECONOMY', 'STANDARD')
+              and order_date between date '1996-01-01' and date '1998-12-31'""",
     "sales_ytd": f"""
         , daily as (select order_date, sum(sales) as s from lines group by 1)
         select order_date, {_total('s', 'total_sales')},

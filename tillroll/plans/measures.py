@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Collection, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,29 @@ from .analysis import product_totals
 from .views import order_lines, order_month
 
 
+def sliced(
+    star: Star,
+    regions: Collection[str] | None = None,
+    categories: Collection[str] | None = None,
+    dates: tuple[dt.date, dt.date] | None = None,
+) -> Star:
+    """Star narrowed to the chosen regions, categories and order dates (ends included).
+
+    Applies to every report. A slicer without a choice filters nothing.
+    """
+    lines = star.lines
+    if dates is not None:
+        lines = lines.filter(F.col("order_date").between(F.lit(dates[0]), F.lit(dates[1])))
+    for key, dimension, column, chosen in (
+        ("location_id", star.locations, "region", regions),
+        ("product_id", star.products, "category", categories),
+    ):
+        if chosen is not None:
+            kept = dimension.filter(F.col(column).isin(list(chosen))).select(key)
+            lines = lines.join(kept, key, "left_semi")
+    return replace(star, lines=lines)
+
+
 def totals(star: Star) -> DataFrame:
     """Total sales, total profit and their ratio (blank without sales)."""
     sums = order_lines(star, "sales", "profit").agg(

@@ -64,7 +64,8 @@ def monthly_summary(star: Star) -> DataFrame:
 def dashboard_base(star: Star, *columns: str) -> DataFrame:
     """All lines, left-joined to the dimensions, with the margin of each line.
 
-    Unlike the enriched view this keeps lines that miss a dimension. Given
+    Unlike the enriched view this keeps lines that miss a dimension, and lines
+    without a key find the dimension row without a key, if there is one. Given
     ``columns``, only those are kept, and dimensions without any of them are not
     joined: a left join on a primary key neither drops nor repeats lines.
     """
@@ -78,7 +79,8 @@ def dashboard_base(star: Star, *columns: str) -> DataFrame:
     for key, dimension in star.dimensions():
         wanted = [c for c in shown[key] if c in kept]
         if wanted:
-            lines = lines.join(dimension.select(key, *wanted), key, "left")
+            attributes = dimension.select(F.col(key).alias("_key"), *wanted)
+            lines = lines.join(attributes, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
     return lines.select(*kept)
 
 

@@ -68,7 +68,7 @@ def mapped_star(spark: SparkSession, folder: str) -> Star:
 
     cost = (_money("p_retailprice") * F.lit("1.75").cast("decimal(3,2)")).cast(MONEY)
     sales = (_money("l_extendedprice") * (1 - F.col("discount"))).cast(MONEY)
-    paid = (F.col("cost") * F.col("l_quantity").cast("decimal(4,0)")).cast(MONEY)
+    paid = (F.col("cost") * F.col("l_quantity").cast("int")).cast(MONEY)
     lines = (
         # Lines and orders both grow with the data: neither is a side to broadcast.
         lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey)
