@@ -6,8 +6,11 @@ all-text export with defects in fixed places, as input for the cleaning steps.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..schemas import DIM_LOCATION, FRACTION, MONEY, Star
 
@@ -29,13 +32,26 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _units(column: str, scale: int) -> Column:
+    """Whole units of 10^-scale in a double that holds an exact decimal.
+
+    Casting a double to a decimal goes through its text; whole numbers do not.
+    """
+    return F.rint(F.col(column) * 10**scale).cast("bigint")
+
+
+def _decimal(units: Column, scale: int, target: DecimalType) -> Column:
+    step = F.lit(Decimal(1).scaleb(-scale))
+    return (units.cast("decimal(18,0)") * step).cast(target)
+
+
 def _money(column: str) -> Column:
-    return F.col(column).cast(MONEY)
+    return _decimal(_units(column, 2), 2, MONEY)
 
 
-def _discount() -> Column:
+def _discount_units() -> Column:
     # 0.00 .. 0.10 stretched to 0.00 .. 0.40, so that every discount band occurs.
-    return (F.col("l_discount").cast(FRACTION) * 4).cast(FRACTION)
+    return _units("l_discount", 4) * 4
 
 
 def _locations(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,15 +83,15 @@ def mapped_star(spark: SparkSession, folder: str) -> Star:
     locations = _locations(spark, folder)
 
     cost = (_money("p_retailprice") * F.lit("1.75").cast("decimal(3,2)")).cast(MONEY)
-    sales = (_money("l_extendedprice") * (1 - F.col("discount"))).cast(MONEY)
+    sold = _units("l_extendedprice", 2) * (10_000 - _discount_units())
     paid = (F.col("cost") * F.col("l_quantity").cast("int")).cast(MONEY)
     lines = (
         # Lines and orders both grow with the data: neither is a side to broadcast.
         lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey)
         .join(customer.select("c_custkey", "c_nationkey"), F.col("c_custkey") == orders.o_custkey)
         .join(part.select("p_partkey", cost.alias("cost")), F.col("p_partkey") == F.col("l_partkey"))
-        .withColumn("discount", _discount())
-        .withColumn("sales", sales)
+        .withColumn("discount", _decimal(_discount_units(), 4, FRACTION))
+        .withColumn("sales", _decimal(sold, 6, MONEY))
         .select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
@@ -127,7 +143,7 @@ def raw_export(spark: SparkSession, folder: str) -> DataFrame:
     order, product = F.col("l_orderkey"), F.col("l_partkey")
     us_date, iso_date = "M/d/yyyy", "yyyy-MM-dd"
     name = F.when(order % 7 == 0, F.upper("c_name")).otherwise(F.col("c_name"))
-    percent = (_discount() * 100).cast("decimal(5,2)").cast("string")
+    percent = _decimal(_discount_units(), 2, DecimalType(5, 2)).cast("string")
     cost = (_money("p_retailprice") * F.lit("0.80").cast("decimal(3,2)")).cast(MONEY)
     quantity = F.col("l_quantity").cast("int").cast("string")
     copies = F.when(order % 50 == 0, 2).otherwise(1)
