@@ -72,7 +72,7 @@ def hit_spans(text: bytes, runs: list[int]) -> list[dict[str, int]]:
     """Runs of hit words (first word, word behind the last, ...) as code point ranges of ``text``."""
     if not len(runs):
         return []
-    places = [m.span() for m in _WORD.finditer(text.decode("utf-8", "replace"))]
+    places = [m.span() for m in _WORD.finditer(text.lower().decode("utf-8", "replace"))]
     return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in zip(runs[::2], runs[1::2])]
 
 
