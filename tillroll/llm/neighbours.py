@@ -25,14 +25,31 @@ _SLACK = 1e-5  # single precision decides what is looked at, double what is a li
 _PAIR = "node bigint, other bigint, sim float, link boolean"
 
 
-def unit(embedding: Column) -> Column:
-    """Vector of length one in double precision, or NULL if that has no meaning."""
-    x = embedding.cast("array<double>")
-    sound = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    largest = F.array_max(F.transform(x, F.abs))
-    scaled = F.transform(x, lambda v: v / largest)
-    square = F.aggregate(scaled, F.lit(0.0), lambda a, v: a + v * v)
-    return F.when(sound & (largest > 0), F.transform(scaled, lambda v: v / F.sqrt(square)))
+def unit(embedding: list | None) -> list[float] | None:
+    """Vector of length one in double precision, or None if that has no meaning."""
+    if not embedding or any(x is None for x in embedding):
+        return None
+    x = np.array(embedding, np.float64)
+    largest = np.abs(x).max()
+    if not np.isfinite(x).all() or largest == 0:
+        return None
+    x = x / largest  # so that squares neither overflow nor vanish
+    return (x / np.sqrt(x @ x)).tolist()
+
+
+def with_units(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
+    """(vec_id, u): the unit vector of each row, NULL where there is none."""
+    rows = vectors.select(quoted(vec_id).alias("vec_id"), quoted(embedding).alias("u"))
+
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u = [unit(x) for x in batch.column("u").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array(u, pa.list_(pa.float64()))], names=["vec_id", "u"]
+            )
+
+    kind = rows.schema["vec_id"].dataType.simpleString()
+    return rows.mapInArrow(scaled, f"vec_id {kind}, u array<double>")
 
 
 def _dot(a: str, b: str) -> Column:
@@ -379,7 +396,7 @@ def near_vectors(
     never names a component that has other ids. Repeated rows are linked vectors. An
     empty table gives no rows; other columns are ignored.
     """
-    rows = vectors.select(quoted(vec_id).alias("vec_id"), unit(quoted(embedding)).alias("u"))
+    rows = with_units(vectors, vec_id, embedding)
     rows = rows.withColumns({"h": F.xxhash64("u"), "h2": F.xxhash64(F.lit(7), "u")})
     rows = written(rows, "nn-rows")
     sound = rows.filter("u is not null")
