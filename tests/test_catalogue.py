@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.comparing import difference, oracle_connection
+from tillroll.catalogue import QUERIES
+from tillroll.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +14,14 @@ def connection(folder):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, folder, connection, name):
-    result = entry.queries()[name](spark, folder)
-    assert difference(result, connection, entry.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, folder)
+    assert difference(result, connection, ORACLE[name]) is None
 
 
 def test_flagship_query(spark):

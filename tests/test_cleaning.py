@@ -232,3 +232,19 @@ def test_cleaning_is_idempotent(spark, folder):
     text = once.select(*(once[n].cast("string") for n in once.columns))
     twice = c.clean(text, scale="fraction").drop("order_line_id")
     assert once.exceptAll(twice).isEmpty() and twice.exceptAll(once).isEmpty()
+
+
+def test_dates_of_formats_that_share_a_prefix(spark):
+    rows = [("1/2/2024 10:30", 1), ("1/2/2024", 2), ("1/2/24", 3)]
+    df = export(spark, rows, ["order_date", "n"])
+    day = dt.date(2024, 1, 2)
+    parsed = c.parse_dates(df, ["M/d/yyyy", "M/d/yyyy HH:mm"]).orderBy("n").collect()
+    assert [r["order_date"] for r in parsed[:2]] == [day, day]
+    parsed = c.parse_dates(df, ["M/d/yy", "M/d/yyyy"]).orderBy("n").collect()
+    assert [r["order_date"] for r in parsed] == [None, day, day]
+
+
+def test_number_with_suffix_and_white_space(spark):
+    rows = [("12d\t", 1), ("12f\n", 2), ("12\t", 3)]
+    parsed = c.parse_numbers(export(spark, rows, ["sales", "n"])).orderBy("n").collect()
+    assert [r["sales"] for r in parsed] == [None, None, 12.0]

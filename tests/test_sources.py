@@ -1,6 +1,7 @@
 """CSV forms, round trips, append, layout and SQL over the views."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tillroll.operators.star import build_star
 from tillroll.plans import analysis, views
 from tillroll.sources import raw_csv, tables
 from tillroll.sources.mapped import raw_export
-from tillroll.sources.scratch import checkpoint_folder
+from tillroll.sources.scratch import checkpoint_folder, discarded, written
 
 
 def _file(folder, text, name="raw.csv"):
@@ -22,20 +23,20 @@ def _file(folder, text, name="raw.csv"):
 
 def test_quotes_line_breaks_and_bad_bytes(spark, tmp_path):
     path = _file(tmp_path, b'a,b\n"He said ""hi"", ok","two\nlines"\ncaf\xe9,x\n')
-    rows = [tuple(r)[:2] for r in raw_csv.read_raw(spark, path).collect()]
+    rows = [tuple(r)[:2] for r in raw_csv.read_raw(spark, path, multiline=True).collect()]
     assert rows == [('He said "hi", ok', "two\nlines"), ("caf�", "x")]
 
 
 def test_wide_and_short_rows_are_kept_and_marked(spark, tmp_path):
     path = _file(tmp_path, "a,b\n1,2\n1,2,3\n1\n")
-    rows = [tuple(r) for r in raw_csv.read_raw(spark, path).collect()]
+    rows = [tuple(r) for r in raw_csv.read_raw(spark, path, multiline=True).collect()]
     assert rows == [("1", "2", False), ("1", "2", True), ("1", None, True)]
 
 
 def test_malformed_rows_are_audited_and_cleaned(spark, tmp_path):
     text = "Order ID,Order Date,Product ID,Sales,Quantity\n"
     text += "o1,1/1/2024,p,1,1\no1,1/1/2024,p,1,1,surplus\no2,1/1/2024,p\n"
-    raw = raw_csv.read_raw(spark, _file(tmp_path, text))
+    raw = raw_csv.read_raw(spark, _file(tmp_path, text), multiline=True)
     assert list(cleaning_audit(raw).first()) == [3, 2, 1, 1, 1]
     lines = clean(raw)
     assert lines.count() == 1 and MALFORMED not in lines.columns
@@ -43,24 +44,26 @@ def test_malformed_rows_are_audited_and_cleaned(spark, tmp_path):
 
 def test_repeated_header_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="Sales"):
-        raw_csv.read_raw(spark, _file(tmp_path, "Sales,Sales\n1,2\n"))
+        raw_csv.read_raw(spark, _file(tmp_path, "Sales,Sales\n1,2\n"), multiline=True)
 
 
 def test_several_files_and_a_different_header(spark, tmp_path):
     _file(tmp_path, "a,b\n1,2\n", "one.csv")
     _file(tmp_path, "a,b\n3,4\n", "two.csv")
-    assert raw_csv.read_raw(spark, str(tmp_path)).count() == 2
+    assert raw_csv.read_raw(spark, str(tmp_path), multiline=True).count() == 2
     _file(tmp_path, "b,a\n4,3\n", "zzz.csv")
     with pytest.raises(Exception, match="header"):
-        raw_csv.read_raw(spark, str(tmp_path)).collect()
+        raw_csv.read_raw(spark, str(tmp_path), multiline=True).collect()
 
 
 def test_find_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         raw_csv.find_input(spark, str(tmp_path))
     for name in ("b.csv", "a.csv", "0.txt"):
-        _file(tmp_path, "x\n", name)
-    assert raw_csv.find_input(spark, str(tmp_path)).endswith("/a.csv")
+        _file(tmp_path, f"x\n{name}\n", name)
+    path = raw_csv.find_input(spark, str(tmp_path))
+    rows = raw_csv.read_raw(spark, path, multiline=False).collect()
+    assert sorted(r["x"] for r in rows) == ["a.csv", "b.csv"]
     explicit = str(tmp_path / "b.csv")
     assert raw_csv.find_input(spark, str(tmp_path), explicit) == explicit
 
@@ -69,7 +72,7 @@ def test_find_input(spark, tmp_path):
 def test_raw_file_to_reports_from_stored_tables(spark, folder, tmp_path, fmt):
     raw = raw_export(spark, folder)
     raw.write.csv(str(tmp_path / "raw"), header=True, escape='"')
-    star = build_star(clean(raw_csv.read_raw(spark, str(tmp_path / "raw"))))
+    star = build_star(clean(raw_csv.read_raw(spark, str(tmp_path / "raw"), multiline=True)))
     rows = tables.write_star(star, str(tmp_path / "star"), fmt)
     stored = tables.read_star(spark, str(tmp_path / "star"), fmt)
     assert rows == {name: t.count() for name, t in stored.tables().items()}
@@ -96,6 +99,27 @@ def test_refresh_replaces_and_append_adds(spark, tmp_path):
     assert tables.line_count(tables.read_star(spark, path)) == 3
 
 
+def test_append_continues_keys_and_merges_dimensions(spark, tmp_path):
+    def batch(rows):
+        names = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity", "Region", "Customer Name"]
+        raw = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+        return build_star(clean(raw))
+
+    first = batch([("1", "1/2/2024", "p1", "100", "1", "West", "Ann"), ("2", "1/3/2024", "p2", "50", "1", "East", "Bob")])
+    second = batch([("3", "2/2/2024", "p1", "5", "1", "West", "Bob"), ("4", "2/3/2024", "p3", "10", "1", "South", "Cy")])
+    path = str(tmp_path / "star")
+    tables.write_star(first, path)
+    tables.write_star(second, path, mode="append", made_customers=True)
+    star = tables.read_star(spark, path)
+    joined = star.lines.join(star.locations, "location_id").join(star.customers, "customer_id")
+    sums = {r["region"]: int(r["s"]) for r in joined.groupBy("region").agg(F.sum("sales").alias("s")).collect()}
+    assert sums == {"West": 105, "East": 50, "South": 10}
+    names = {r["customer_name"]: int(r["s"]) for r in joined.groupBy("customer_name").agg(F.sum("sales").alias("s")).collect()}
+    assert names == {"Ann": 100, "Bob": 55, "Cy": 10}
+    assert sorted(r["order_line_id"] for r in star.lines.collect()) == [1, 2, 3, 4]
+    assert [t.count() for t in star.tables().values()] == [3, 3, 3, 4]
+
+
 def test_catalog_tables(spark):
     spark.sql("create database if not exists shop")
     star = small_star(spark, [line(1)])
@@ -121,3 +145,13 @@ def test_scan_reads_only_what_a_report_needs(spark, tmp_path):
 
 def test_checkpoint_folder_is_the_session_setting(spark):
     assert checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_tables_can_be_discarded(spark):
+    shared = Path(checkpoint_folder(spark))
+    shared.mkdir(parents=True, exist_ok=True)
+    before = set(shared.iterdir())
+    with discarded(spark):
+        assert written(spark.range(3), "three").count() == 3
+        assert set(shared.iterdir()) > before
+    assert set(shared.iterdir()) == before

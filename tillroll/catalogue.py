@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import cleaning, quality, star
 from .plans import analysis, dashboard, measures, report, views
 from .schemas import LOCATION_COLUMNS, Star
-from .sources.mapped import mapped_star, raw_export, region_names
+from .sources.mapped import mapped_star, raw_export
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,6 +190,6 @@ QUERIES: dict[str, Query] = {
     "top_products_in_category": _over_star(measures.top_products_in_category),
     "sales_by_state": _over_star(measures.sales_by_state),
     "region_subcategory_matrix": _over_star(
-        lambda built: measures.region_subcategory_matrix(built, region_names())
+        lambda built: measures.region_subcategory_matrix(built)
     ),
 }

@@ -1,8 +1,8 @@
 """Text to date and number. Cells that do not parse become NULL, never an error.
 
 Filters on parsed columns are pushed down to the scan and repeat the parsing
-expression there. Each parser therefore starts from the raw cell and stays cheap
-(no regular expressions), instead of building on other steps.
+expression there. Each parser therefore starts from the raw cell and uses no regular
+expressions, instead of building on other steps.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 from .text import tidied
 
+
 def parsed_date(cell: Column, formats: Sequence[str]) -> Column:
-    """Date where one of the formats reads the whole cell; does not depend on other rows."""
-    # Optional sections: one parse per cell, and no failed attempt for the later formats.
-    either = "".join(f"[{f}]" for f in formats)
-    # A pattern of nothing but optional sections would also read an empty cell.
-    return F.try_to_date(tidied(cell, [""]), either)
+    """Date by the first of the formats that reads the whole cell; does not depend on other rows."""
+    text = tidied(cell, [""])
+    return F.coalesce(*(F.try_to_date(text, f) for f in formats))
 
 
 def parsed_number(cell: Column) -> Column:
@@ -29,7 +28,7 @@ def parsed_number(cell: Column) -> Column:
     (``0x1p3``), ``nan`` (greater than anything in Spark) and ``inf``.
     """
     value = cell.try_cast("double")
-    suffixed = F.right(F.rtrim(cell), F.lit(1)).isin(list("dDfF"))
+    suffixed = F.right(tidied(cell, [""]), F.lit(1)).isin(list("dDfF"))
     hexadecimal = cell.contains("x") | cell.contains("X")
     finite = F.abs(value) < F.lit(float("inf"))
     return F.when(~suffixed & ~hexadecimal & finite, value)

@@ -183,9 +183,13 @@ def add_customer_key(df: DataFrame) -> DataFrame:
     keys = numbered(first, "_number", [F.col("_first").asc()]).select(
         "_name", F.format_string("C%06d", F.col("_number") - 1).alias("_key")
     )
-    key = F.coalesce("_key", F.lit("C-00001")).alias("customer_id")
     others = [c for c in df.columns if c != "customer_id"]
-    return df.join(keys, F.col(source) == F.col("_name"), "left").select(*others, key)
+    # Every name has a key; lines without one stay out of the join, where they would be a hot key.
+    named = df.join(keys, F.col(source) == F.col("_name")).select(
+        *others, F.col("_key").alias("customer_id")
+    )
+    unnamed = df.filter(F.col(source).isNull())
+    return named.unionByName(unnamed.select(*others, F.lit("C-00001").alias("customer_id")))
 
 
 def _cell_rules(

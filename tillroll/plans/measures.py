@@ -167,12 +167,18 @@ def sales_by_state(star: Star) -> DataFrame:
     )
 
 
-def region_subcategory_matrix(star: Star, regions: Sequence[str]) -> DataFrame:
-    """Profit per sub-category, one column per region."""
+def region_subcategory_matrix(star: Star) -> DataFrame:
+    """Profit per sub-category, one column per region of the location dimension.
+
+    Regions are few; a missing one is the column ``unknown``.
+    """
+    region = F.coalesce("region", F.lit("unknown"))
+    found = star.locations.select(region.alias("region")).distinct().orderBy("region").collect()
     return (
         order_lines(star, "sub_category", "region", "profit")
+        .withColumn("region", region)
         .groupBy("sub_category")
-        .pivot("region", list(regions))
+        .pivot("region", [r["region"] for r in found])
         .agg(F.sum("profit"))
         .orderBy("sub_category")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -10,30 +11,30 @@ from ..operators.cleaning import MALFORMED
 
 
 def find_input(spark: SparkSession, folder: str, explicit: str | None = None) -> str:
-    """``explicit``, or the first CSV file of ``folder`` by name.
+    """``explicit``, or a glob over all CSV files of ``folder``: an export may be many files.
 
     The listing reads file names only, never their content.
     """
     files = spark.read.format("binaryFile")
-    if explicit is None:
-        files = files.option("pathGlobFilter", "*.csv").load(folder)
-    else:
-        files = files.load(explicit)
-    first = files.agg(F.min("path")).first()[0]
-    if first is None:
+    path = explicit or f"{folder.rstrip('/')}/*.csv"
+    try:
+        found = files.load(path).select("path").first()
+    except AnalysisException:
+        found = None
+    if found is None:
         raise FileNotFoundError(f"no CSV file in {explicit or folder}")
-    return explicit or first
+    return path
 
 
-def read_raw(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
     """Export with every column as text, under the headers of the file.
 
     Quoted fields may hold commas, doubled quotes and line breaks. A row with
     too many or too few fields is kept, cut or NULL-padded, and marked in
     ``_malformed``. All files of one read must share their header.
 
-    Line breaks inside quotes keep a file from being split between tasks. Large
-    files without such line breaks should be read with ``multiline=False``.
+    ``multiline`` says whether quoted fields may hold line breaks. Then each file is
+    read by one task, however large it is; ``False`` lets large files be split.
     """
     reader = spark.read.options(
         multiLine=multiline, quote='"', escape='"', encoding="UTF-8", mode="PERMISSIVE"

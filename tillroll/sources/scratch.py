@@ -1,30 +1,25 @@
-"""Intermediate tables in the cluster's checkpoint folder."""
+"""Intermediate tables in the folder that the cluster shares."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths written inside each open ``discarded`` block, innermost last.
+_open: list[list[str]] = []
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting and then gets a temporary
-    folder; on a cluster such a folder would not be visible to other machines.
-    """
+def checkpoint_folder(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``, else one below the warehouse; on any master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tillroll-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Run ``df`` once, write it as Parquet to the checkpoint folder and read it back.
+    """Run ``df`` once, write it as Parquet to the shared folder and read it back.
 
     This freezes values that a recomputation could change (a row's place in a
     range-partitioned sort) and lets later readers prune columns and survive the
@@ -32,5 +27,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def discarded(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what ``written`` has put into the shared folder inside the block.
+
+    Frames built in the block read these tables, so use or store them before it ends.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for name in _open.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.append import continued
 from ..operators.quality import typed_check
 from ..schemas import PRIMARY_KEYS, TABLES, Star
 
@@ -31,15 +32,22 @@ def _laid_out(name: str, table: DataFrame) -> DataFrame:
 
 
 def write_star(
-    star: Star, folder: str, fmt: str = "parquet", mode: str = "overwrite"
+    star: Star,
+    folder: str,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    made_customers: bool = False,
 ) -> dict[str, int]:
     """Write one folder per table and return the rows each then holds.
 
-    ``overwrite`` is the full refresh, ``append`` adds a batch; dimensions go
-    before the fact. ``fmt`` is ``parquet`` or ``csv``. Rows are counted in what
+    ``overwrite`` is the full refresh; ``append`` adds a batch, whose keys go on from
+    the stored ones and whose known dimension rows are left out (see ``continued``,
+    also for ``made_customers``). Dimensions go before the fact. ``fmt`` is ``parquet`` or ``csv``. Rows are counted in what
     was stored (for Parquet from file footers): counts taken while writing would
     include retried tasks and the sampling of the date ranges.
     """
+    if mode == "append":
+        star = continued(read_star(star.lines.sparkSession, folder, fmt), star, made_customers)
     typed_check(star.tables())
     for name, table in star.tables().items():
         writer = _laid_out(name, table).write
@@ -70,8 +78,14 @@ def read_star(spark: SparkSession, folder: str, fmt: str = "parquet", complete:
     )
 
 
-def save_tables(star: Star, database: str, mode: str = "append") -> None:
-    """Write the star to catalog tables, dimensions first."""
+def save_tables(
+    star: Star, database: str, mode: str = "append", made_customers: bool = False
+) -> None:
+    """Write the star to catalog tables, dimensions first; ``append`` goes on from stored keys."""
+    spark = star.lines.sparkSession
+    if mode == "append" and spark.catalog.tableExists(f"{database}.fact_order_lines"):
+        stored = (spark.table(f"{database}.{name}") for name in star.tables())
+        star = continued(Star(*stored), star, made_customers)
     typed_check(star.tables())
     for name, table in star.tables().items():
         table.write.mode(mode).saveAsTable(f"{database}.{name}")
