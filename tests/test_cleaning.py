@@ -173,6 +173,23 @@ def test_duplicates_and_incomplete_rows_and_audit(spark):
     assert sorted(column(c.clean(raw), "order_id")) == ["o1", "o2"]
 
 
+def test_cleaning_and_audit_share_one_reading(spark, folder):
+    """Jobs that scan the export: one, whatever is derived from it afterwards."""
+    from tillroll.sources.mapped import raw_export
+
+    distinct = c.distinct_lines(raw_export(spark, folder))
+    for df in (c.finished(distinct), c.audited(distinct)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and "LogicalRDD" not in plan
+    audit = c.audited(distinct).first()
+    assert c.finished(distinct).count() == audit["rows_out"] < audit["rows_in"]
+
+
+def test_unused_cells_are_not_parsed(spark):
+    cells = c.read_cells(c.standard_names(export(spark, [LINE]))).select("order_id")
+    assert "sales" not in cells._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_row_id_defeats_duplicate_removal(spark):
     raw = export(spark, [[*LINE, "1"], [*LINE, "2"]], [*HEADER, "Row ID"])
     assert c.clean(raw).count() == 2
@@ -191,11 +208,12 @@ def test_absent_columns_become_typed_nulls(spark):
     assert row["ship_date"] is None and row["discount"] is None and row["city"] is None
 
 
-def test_declared_types_round_half_up_and_drop_what_does_not_fit(spark):
+def test_declared_types_round_half_up_and_lines_that_do_not_fit_are_left_out(spark):
     rows = [["o1", "1/2/2024", "p", "0.145", "2.5"], ["o2", "1/2/2024", "p", "99999999999", "1"]]
     raw = export(spark, rows)
     got = c.clean(raw).orderBy("order_id").collect()
-    assert [(r["sales"], r["quantity"]) for r in got] == [(Decimal("0.15"), 3), (None, 1)]
+    assert [(r["sales"], r["quantity"]) for r in got] == [(Decimal("0.15"), 3)]
+    assert list(c.cleaning_audit(raw).first()) == [2, 0, 0, 1, 1]
     out_of_range = {r[0]: r[1] for r in range_check(c.parsed(raw)).collect()}
     assert out_of_range == {"sales": 1, "quantity": 0}
 

@@ -6,11 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import cleaning, quality, star
+from .functions.parse import parsed_date
+from .operators import append, cleaning, quality, star
 from .plans import analysis, dashboard, measures, report, views
-from .schemas import LOCATION_COLUMNS, Star
+from .schemas import DATE_FORMATS, LOCATION_COLUMNS, Star
 from .sources.mapped import mapped_star, raw_export
+from .sources.scratch import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,28 +58,34 @@ def _trim(raw: DataFrame) -> DataFrame:
 
 def _parse_dates(raw: DataFrame) -> DataFrame:
     dated = raw.transform(cleaning.standard_names).transform(cleaning.parse_dates)
-    return dated.select("order_date", "ship_date", "product_id")
+    return dated.select("order_id", "order_date", "ship_date", "product_id")
 
 
 def _parse_numbers(raw: DataFrame) -> DataFrame:
-    return _numbers(raw).select("quantity", "discount", "list_price", "cost_price", "product_id")
+    return _numbers(raw).select(
+        "order_id", "product_id", "quantity", "discount", "list_price", "cost_price"
+    )
+
+
+def _scaled(raw: DataFrame) -> DataFrame:
+    """Numbers with scaled discounts; written once, as the scale is the maximum of a column."""
+    return cleaning.normalise_discount(written(_parse_numbers(raw), "parsed-numbers"))
 
 
 def _discount_scale(raw: DataFrame) -> DataFrame:
-    return _numbers(raw).transform(cleaning.normalise_discount).select("product_id", "discount")
+    return _scaled(raw).select("order_id", "product_id", "quantity", "discount")
 
 
 def _derived(raw: DataFrame) -> DataFrame:
-    scaled = _numbers(raw).transform(cleaning.normalise_discount)
-    return scaled.transform(cleaning.derive_sales).transform(cleaning.derive_profit)
+    return _scaled(raw).transform(cleaning.derive_sales).transform(cleaning.derive_profit)
 
 
 def _derive_sales(raw: DataFrame) -> DataFrame:
-    return _derived(raw).select("product_id", "quantity", "discount", "sales")
+    return _derived(raw).select("order_id", "product_id", "quantity", "discount", "sales")
 
 
 def _derive_profit(raw: DataFrame) -> DataFrame:
-    return _derived(raw).select("product_id", "quantity", "sales", "profit")
+    return _derived(raw).select("order_id", "product_id", "quantity", "sales", "profit")
 
 
 _LINE = ["order_id", "order_date", "product_id", "sales", "quantity", "discount", "profit"]
@@ -101,7 +110,7 @@ def _order_line_id(raw: DataFrame) -> DataFrame:
 
 
 def _range_check(raw: DataFrame) -> DataFrame:
-    return quality.range_check(cleaning.parsed(raw))
+    return quality.range_check(_derived(raw))
 
 
 def _with_location_text(raw: DataFrame) -> DataFrame:
@@ -112,6 +121,58 @@ def _with_location_text(raw: DataFrame) -> DataFrame:
     )
 
 
+def _with_defects(built: Star) -> Star:
+    """The star with orphans, repeated and missing keys, gaps and long texts in fixed places."""
+    line = F.col("order_line_id")
+    customer, product = F.col("customer_id").cast("bigint"), F.col("product_id").cast("bigint")
+    long_name = F.when(customer % 5 == 0, F.rpad("customer_name", 130, "*"))
+    long_mode = F.when(line % 19 == 0, F.rpad("ship_mode", 45, "*"))
+    lines = built.lines.withColumns(
+        {
+            "order_id": F.when(line % 31 != 0, F.col("order_id")),
+            "ship_mode": F.coalesce(long_mode, "ship_mode"),
+            "location_id": F.when(line % 50 != 0, F.col("location_id")),
+            "sales": F.when(line % 29 != 0, F.col("sales")),
+            "order_line_id": F.when(line % 211 != 0, F.when(line % 97 == 0, line - 1).otherwise(line)),
+        }
+    )
+    return Star(
+        customers=built.customers.filter(customer % 7 != 0).withColumn(
+            "customer_name", F.coalesce(long_name, "customer_name")
+        ),
+        products=built.products.unionByName(built.products.filter(product % 13 == 0)),
+        locations=built.locations,
+        lines=lines,
+    )
+
+
+def _over_defects(check: Callable[[Star], DataFrame]) -> Query:
+    return _over_export(lambda raw: check(_with_defects(_cleaned_star(raw))))
+
+
+def _planted_ranges(raw: DataFrame) -> DataFrame:
+    large = F.when(F.col("product_id").cast("bigint") % 41 == 0, F.col("quantity") * 1e9)
+    lines = _scaled(raw).withColumn("quantity", F.coalesce(large, "quantity"))
+    lines = lines.transform(cleaning.derive_sales).transform(cleaning.derive_profit)
+    return quality.range_check(lines)
+
+
+def _appended(raw: DataFrame) -> Star:
+    """The export cleaned in two batches by order date, the second appended to the first."""
+    early = parsed_date(F.col("Order Date"), DATE_FORMATS) < F.lit(dt.date(1995, 6, 1))
+    first = star.build_star(cleaning.clean(raw.filter(early), scale="percent"))
+    late = raw.filter(~F.coalesce(early, F.lit(False)))
+    batch = star.build_star(cleaning.clean(late, scale="percent"))
+    return append.extended(first, append.continued(first, batch))
+
+
+def _appended_fact(raw: DataFrame) -> DataFrame:
+    whole = _appended(raw)
+    return whole.lines.join(whole.locations, "location_id").select(
+        "order_line_id", "order_id", "customer_id", "product_id", "sales", *LOCATION_COLUMNS
+    )
+
+
 # A reader's choice on the report page.
 EXAMPLE_SLICERS = {
     "regions": ["ASIA", "EUROPE"],
@@ -144,6 +205,19 @@ QUERIES: dict[str, Query] = {
     "check_not_null": _over_export(lambda raw: quality.not_null_check(_cleaned_star(raw))),
     "check_widths": _over_export(lambda raw: quality.width_check(_cleaned_star(raw))),
     "check_ranges": _over_export(_range_check),
+    "check_primary_keys_planted": _over_defects(quality.primary_key_check),
+    "check_foreign_keys_planted": _over_defects(quality.foreign_key_check),
+    "check_not_null_planted": _over_defects(quality.not_null_check),
+    "check_widths_planted": _over_defects(quality.width_check),
+    "check_ranges_planted": _over_export(_planted_ranges),
+    # append
+    "appended_fact": _over_export(_appended_fact),
+    "appended_customers": _over_export(lambda raw: _appended(raw).customers),
+    "appended_products": _over_export(lambda raw: _appended(raw).products),
+    "appended_locations": _over_export(
+        lambda raw: _appended(raw).locations.select(*LOCATION_COLUMNS)
+    ),
+    "appended_top_regions": _over_export(lambda raw: report.top_regions(_appended(raw))),
     # views
     "order_lines_enriched": _over_export(lambda raw: views.enriched(_cleaned_star(raw))),
     "monthly_sales_summary": _over_star(views.monthly_summary),

@@ -98,3 +98,13 @@ def continued(stored: Star, batch: Star, made_customers: bool = False) -> Star:
         lines=lines,
         complete=False,
     )
+
+
+def extended(stored: Star, addition: Star) -> Star:
+    """Both together, as they read once ``addition`` is appended in storage."""
+    return Star(
+        customers=stored.customers.unionByName(addition.customers),
+        products=stored.products.unionByName(addition.products),
+        locations=stored.locations.unionByName(addition.locations),
+        lines=stored.lines.unionByName(addition.lines),
+    )

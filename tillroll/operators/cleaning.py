@@ -27,6 +27,7 @@ from ..schemas import (
     READER_NA_TOKENS,
     REQUIRED_COLUMNS,
 )
+from ..sources.scratch import written
 from .ranking import numbered
 
 ALL_TOKENS = sorted({*MISSING_TOKENS, *READER_NA_TOKENS})
@@ -75,15 +76,13 @@ def parse_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: parsed_number(F.col(c)) for c in present})
 
 
-def normalise_discount(
-    df: DataFrame, scale: str = "auto", discounts: DataFrame | None = None
-) -> DataFrame:
+def normalise_discount(df: DataFrame, scale: str = "auto") -> DataFrame:
     """Discounts as fractions of one.
 
     ``auto`` divides by 100 when the largest discount of the whole input exceeds
-    one; the maximum is a scalar subquery over the one column (taken from
-    ``discounts`` where that is cheaper to read), nothing reaches the driver. A
-    batch that is appended to older data should name its scale (``fraction`` or
+    one; the maximum is a scalar subquery over the one column, so ``df`` should be
+    cheap to read twice (a written table), and nothing reaches the driver. A batch
+    that is appended to older data should name its scale (``fraction`` or
     ``percent``), as its own maximum may mislead.
     """
     if scale not in ("auto", "fraction", "percent"):
@@ -92,7 +91,7 @@ def normalise_discount(
         return df
     unit = F.lit(100.0)
     if scale == "auto":
-        largest = (df if discounts is None else discounts).agg(F.max("discount")).scalar()
+        largest = df.agg(F.max("discount")).scalar()
         unit = F.when(largest > 1, unit).otherwise(F.lit(1.0))
     return df.withColumn("discount", F.col("discount") / unit)
 
@@ -115,11 +114,7 @@ def derive_profit(df: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    """One row for each set of rows that agree in every column, NULL equal to NULL.
-
-    Copies collapse within each input task before the shuffle, so a row repeated
-    any number of times costs one shuffled row per task.
-    """
+    """One row for each set of rows that agree in every column, NULL equal to NULL."""
     return df.drop(MALFORMED).dropDuplicates()
 
 
@@ -227,55 +222,79 @@ def read_cells(
     formats: Sequence[str] = DATE_FORMATS,
     strict_order: bool = False,
 ) -> DataFrame:
-    """All cells parsed, stripped and freed of tokens in one go.
+    """All cells parsed, stripped and freed of tokens in one projection.
 
     With ``strict_order`` tokens are looked for before trimming, so that a padded
-    token stays text.
-
-    The row passes through ``inline`` as a whole. Written as twenty projected
-    columns the rules would fill a generated method beyond the size that the JVM
-    compiles, and a filter on a parsed column would be pushed down and repeat the
-    parsing; here each cell is read once.
+    token stays text. Columns that a caller does not use are not parsed.
     """
     rules = _cell_rules(df.columns, list(tokens), formats, strict_order)
+    cells = ((c, F.col(f"`{c}`")) for c in df.columns)
+    return df.select(*((rules[c](v) if c in rules else v).alias(c) for c, v in cells))
 
-    def read(row: Column) -> Column:
-        cells = ((c, row.getField(c)) for c in df.columns)
-        return F.struct(*((rules[c](v) if c in rules else v).alias(c) for c, v in cells))
 
-    whole_row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
-    return df.select(F.inline(F.transform(F.array(whole_row), read)))
+def _measured(lines: DataFrame, scale: str) -> DataFrame:
+    """Discount scale and derived measures; raises if a required column is missing."""
+    lines = normalise_discount(lines, scale).transform(derive_sales).transform(derive_profit)
+    return require_columns(lines)
 
 
 def parsed(
     raw: DataFrame,
     aliases: Mapping[str, str] = COLUMN_ALIASES,
-    tokens: Iterable[str] = ALL_TOKENS,
-    formats: Sequence[str] = DATE_FORMATS,
     scale: str = "auto",
-    strict_order: bool = False,
+    **cell_options,
+) -> DataFrame:
+    """All row-wise steps: names, cells, discount scale, derived measures.
+
+    With ``scale="auto"`` the parsed cells are written once, so that the largest
+    discount is taken from one stored column and the export is read once.
+    """
+    lines = read_cells(standard_names(raw, aliases), **cell_options)
+    checked = _measured(lines, scale)
+    if scale == "auto" and "discount" in lines.columns:
+        return _measured(written(lines, "parsed-cells"), scale)
+    return checked
+
+
+# No header can become such a name.
+_COPIES, _MALFORMED_COPIES = "#copies", "#malformed"
+
+
+def distinct_lines(
+    raw: DataFrame, aliases: Mapping[str, str] = COLUMN_ALIASES, **cell_options
 ) -> DataFrame:
-    """All row-wise steps: names, cells, discount scale, derived measures."""
-    options = {"tokens": list(tokens), "formats": formats, "strict_order": strict_order}
-    named = standard_names(raw, aliases)
-    lines = read_cells(named, **options)
-    if "discount" in named.columns:
-        discounts = read_cells(named.select("discount"), **options)
-        lines = normalise_discount(lines, scale, discounts)
-    return lines.transform(derive_sales).transform(derive_profit).transform(require_columns)
+    """Parsed rows, copies folded and counted, written once: the only step that reads ``raw``.
+
+    ``finished`` and ``audited`` go on from it. Copies are folded before the discount
+    is scaled and measures are derived, which treat equal rows alike. They collapse
+    within each input task first, so a row repeated any number of times costs one
+    shuffled row per task.
+    """
+    lines = read_cells(standard_names(raw, aliases), **cell_options)
+    _measured(lines, "fraction")
+    malformed = F.col(MALFORMED) if MALFORMED in lines.columns else F.lit(False)
+    folded = lines.withColumn(MALFORMED, malformed)
+    folded = folded.groupBy(*(f"`{c}`" for c in lines.columns if c != MALFORMED)).agg(
+        F.count("*").alias(_COPIES), F.count_if(F.col(MALFORMED)).alias(_MALFORMED_COPIES)
+    )
+    return written(folded, "distinct-lines")
+
+
+def _declared(distinct: DataFrame, scale: str) -> DataFrame:
+    """Distinct rows scaled, with derived measures and declared types."""
+    return _measured(distinct, scale).transform(apply_types)
 
 
-def clean(raw: DataFrame, **options) -> DataFrame:
-    """Cleaned, typed, numbered order lines. Takes the options of ``parsed``.
+def finished(distinct: DataFrame, scale: str = "auto") -> DataFrame:
+    """Cleaned, typed, numbered order lines from ``distinct_lines``.
 
-    Writes the numbered lines once; dimensions and fact read them back, so the
-    raw export is not cleaned again for each of them.
+    A line whose required value is missing, or too large for its column, is left out.
+    The numbered lines are written once; dimensions and fact read them back.
     """
-    lines = parsed(raw, **options)
-    keyed = "customer_id" in lines.columns
-    named = "customer_name" in lines.columns
-    lines = lines.transform(drop_duplicates).transform(drop_incomplete)
-    lines = lines.transform(apply_types).transform(number_lines)
+    keyed = "customer_id" in distinct.columns
+    named = "customer_name" in distinct.columns
+    lines = _declared(distinct, scale).drop(_COPIES, _MALFORMED_COPIES)
+    lines = lines.transform(drop_incomplete).transform(number_lines)
     if keyed:
         return lines
     if named:
@@ -285,23 +304,29 @@ def clean(raw: DataFrame, **options) -> DataFrame:
     )
 
 
-def cleaning_audit(raw: DataFrame, **options) -> DataFrame:
-    """One row: rows in, malformed rows, exact duplicates, incomplete rows, rows out.
+def audited(distinct: DataFrame, scale: str = "auto") -> DataFrame:
+    """One row over ``distinct_lines``: rows in, malformed, exact duplicates, incomplete, out.
 
-    A single pass: copies are counted while they are grouped.
+    Incomplete are distinct rows that ``finished`` leaves out: a required value is
+    missing or does not fit its column.
     """
-    lines = parsed(raw, **options)
-    malformed = F.col(MALFORMED) if MALFORMED in lines.columns else F.lit(False)
-    lines = lines.withColumn(MALFORMED, malformed)
-    distinct = lines.groupBy(*(f"`{c}`" for c in lines.columns if c != MALFORMED)).agg(
-        F.count("*").alias("_copies"), F.count_if(F.col(MALFORMED)).alias("_malformed_copies")
-    )
+    lines = _declared(distinct, scale)
     gap = reduce(Column.__or__, (F.col(c).isNull() for c in REQUIRED_COLUMNS))
-    rows_in, rows = F.coalesce(F.sum("_copies"), F.lit(0)), F.count("*")
-    return distinct.agg(
+    rows_in, rows = F.coalesce(F.sum(_COPIES), F.lit(0)), F.count("*")
+    return lines.agg(
         rows_in.alias("rows_in"),
-        F.coalesce(F.sum("_malformed_copies"), F.lit(0)).alias("malformed_rows"),
+        F.coalesce(F.sum(_MALFORMED_COPIES), F.lit(0)).alias("malformed_rows"),
         (rows_in - rows).alias("exact_duplicates"),
         F.count_if(gap).alias("incomplete_rows"),
         (rows - F.count_if(gap)).alias("rows_out"),
     )
+
+
+def clean(raw: DataFrame, scale: str = "auto", **options) -> DataFrame:
+    """``finished`` lines of a raw export."""
+    return finished(distinct_lines(raw, **options), scale)
+
+
+def cleaning_audit(raw: DataFrame, scale: str = "auto", **options) -> DataFrame:
+    """``audited`` counts of a raw export. Share ``distinct_lines`` to clean it as well."""
+    return audited(distinct_lines(raw, **options), scale)

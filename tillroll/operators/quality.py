@@ -38,27 +38,38 @@ def primary_key_check(star: Star) -> DataFrame:
 def foreign_key_check(star: Star) -> DataFrame:
     """Per foreign key of the fact: unknown values, lines with them, lines without a value.
 
-    Lines are counted per key value before the join, so a hot key meets the
-    dimension as one row.
+    One pass over the fact gives the lines per (key, value), so a hot value meets the
+    dimensions as one row.
     """
+    keys = [key for key, _ in star.dimensions()]
 
-    def check(key: str, dimension: DataFrame) -> DataFrame:
-        used = star.lines.groupBy(key).agg(F.count("*").alias("_lines"))
-        known = dimension.select(key, F.lit(True).alias("_known"))
-        orphan = F.col(key).isNotNull() & F.col("_known").isNull()
-        return (
-            used.join(known, key, "left")
-            .agg(
-                F.count_if(orphan).alias("orphan_keys"),
-                F.coalesce(F.sum(F.when(orphan, F.col("_lines"))), F.lit(0)).alias("orphan_lines"),
-                F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_lines"))), F.lit(0)).alias(
-                    "null_lines"
-                ),
-            )
-            .select(F.lit(key).alias("foreign_key"), "*")
-        )
+    def entries(value):
+        return F.array(*(F.struct(F.lit(k).alias("foreign_key"), value(k).alias("value")) for k in keys))
 
-    return _stacked([check(key, dimension) for key, dimension in star.dimensions()])
+    used = (
+        star.lines.select(F.inline(entries(lambda k: F.col(k).cast("string"))))
+        .groupBy("foreign_key", "value")
+        .agg(F.count("*").alias("_lines"))
+    )
+    # A row without lines per key, so that an empty fact is reported too.
+    none = star.lines.sparkSession.range(1).select(
+        F.inline(entries(lambda _: F.lit(None).cast("string")))
+    )
+    used = used.unionByName(none.withColumn("_lines", F.lit(0).cast("bigint")))
+    known = _stacked(
+        [
+            table.select(F.lit(k).alias("foreign_key"), F.col(k).cast("string").alias("value"))
+            for k, table in star.dimensions()
+        ]
+    ).distinct()
+    found = used.join(known.withColumn("_known", F.lit(True)), ["foreign_key", "value"], "left")
+    orphan = F.col("value").isNotNull() & F.col("_known").isNull()
+    missing = F.col("value").isNull()
+    return found.groupBy("foreign_key").agg(
+        F.count_if(orphan).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_lines"))), F.lit(0)).alias("orphan_lines"),
+        F.coalesce(F.sum(F.when(missing, F.col("_lines"))), F.lit(0)).alias("null_lines"),
+    )
 
 
 def _one_row_per_count(counts: DataFrame, label: str, value: str) -> DataFrame:

@@ -377,6 +377,29 @@ complete_lines as (
 )"""
 )
 
+# Only what the number steps need, with the order id as it is in the export.
+_NUMBERS = (
+    _EXPORT
+    + """,
+numbers as (
+    select order_id, product_id, try_cast(quantity as double) as quantity,
+           try_cast(discount as double) as percent, try_cast(list_price as double) as list_price,
+           try_cast(cost_price as double) as cost_price
+    from export
+)"""
+)
+_PRICED = (
+    _NUMBERS
+    + """,
+largest as (select max(percent) as top from numbers),
+scaled as (
+    select order_id, product_id, quantity, list_price, cost_price,
+           case when top > 1 then percent / 100.0::double else percent end as discount
+    from numbers, largest
+),
+priced as (select *, list_price * (1 - coalesce(discount, 0)) * quantity as sales from scaled)"""
+)
+
 _AFTER_ORDER_DATE = [
     "order_id", "product_id", "ship_date", "sales", "quantity", "discount", "profit", "ship_mode",
     "customer_id", "customer_name", "segment", "country", "region", "state", "city", "postal_code",
@@ -432,23 +455,23 @@ fact as (
 _LINE = "order_id, order_date, product_id, sales, quantity, discount, profit"
 
 
-def _key_check(table: str, key: str) -> str:
+def _key_check(table: str, key: str, source: str | None = None) -> str:
     return f"""
         select '{table}' as table_name, count(*) filter ({key} is not null and n > 1)
                    as repeated_keys,
                cast(coalesce(sum(n) filter ({key} is not null and n > 1), 0) as bigint)
                    as repeated_rows,
                cast(coalesce(sum(n) filter ({key} is null), 0) as bigint) as null_rows
-        from (select {key}, count(*) as n from {table} group by 1)"""
+        from (select {key}, count(*) as n from {source or table} group by 1)"""
 
 
-def _reference_check(key: str, table: str) -> str:
+def _reference_check(key: str, table: str, fact: str = "fact") -> str:
     orphan = f"{key} is not null and {key} not in (select {key} from {table})"
     return f"""
         select '{key}' as foreign_key, count(distinct {key}) filter ({orphan}) as orphan_keys,
                count(*) filter ({orphan}) as orphan_lines,
                count(*) filter ({key} is null) as null_lines
-        from fact"""
+        from {fact}"""
 
 
 def _counted(table: str, label: str, value: str, conditions: dict[str, str]) -> str:
@@ -465,17 +488,58 @@ _WIDE = {
     "dim_location": {"country": 60, "region": 40, "state": 60, "city": 80, "postal_code": 20},
     "fact": {"order_id": 40, "ship_mode": 40},
 }
-_WIDTHS = " union all ".join(
-    _counted(
-        table,
-        "column_name",
-        "too_long_rows",
-        {
-            f"{'fact_order_lines' if table == 'fact' else table}.{c}": f"length({c}) > {n}"
-            for c, n in widths.items()
-        },
+
+
+def _widths(prefix: str = "") -> str:
+    return " union all ".join(
+        _counted(
+            prefix + table,
+            "column_name",
+            "too_long_rows",
+            {
+                f"{'fact_order_lines' if table == 'fact' else table}.{c}": f"length({c}) > {n}"
+                for c, n in widths.items()
+            },
+        )
+        for table, widths in _WIDE.items()
     )
-    for table, widths in _WIDE.items()
+
+
+_REQUIRED = {
+    c: f"{c} is null" for c in ("order_line_id", "order_id", "order_date", "sales", "quantity")
+}
+_OUT_OF_RANGE = {
+    "sales": "abs(sales) >= 9999999999.995",
+    "quantity": "abs(quantity) >= 2147483647.5",
+    "discount": "abs(discount) >= 9.99995",
+    "profit": "abs(profit) >= 9999999999.995",
+}
+
+# The star with defects in fixed places, for checks that have something to find.
+_BAD_STAR = (
+    _STAR
+    + """,
+bad_dim_customer as (
+    select customer_id, case when customer_id::bigint % 5 = 0 then rpad(customer_name, 130, '*')
+           else customer_name end as customer_name, segment
+    from dim_customer where customer_id::bigint % 7 <> 0
+),
+bad_dim_product as (
+    select * from dim_product union all
+    select * from dim_product where product_id::bigint % 13 = 0
+),
+bad_dim_location as (select * from dim_location),
+bad_fact as (
+    select case when order_line_id % 211 = 0 then null when order_line_id % 97 = 0
+                then order_line_id - 1 else order_line_id end as order_line_id,
+           case when order_line_id % 31 <> 0 then order_id end as order_id, order_date, ship_date,
+           case when order_line_id % 19 = 0 then rpad(ship_mode, 45, '*') else ship_mode end
+               as ship_mode,
+           customer_id, product_id,
+           case when order_line_id % 50 <> 0 then location_id end as location_id,
+           case when order_line_id % 29 <> 0 then sales end as sales, quantity, discount, profit
+    from fact
+)"""
 )
 
 _ENRICHED = """
@@ -512,12 +576,18 @@ _OVER_EXPORT = {
         ("order_id", "segment", "city", "postal_code", "product_id"))} from export""",
     "clean_trim": _EXPORT
     + "select trim(customer_name, E' \\t') as customer_name, segment, product_id from export",
-    "clean_parse_dates": _PARSED + "select order_date, ship_date, product_id from parsed",
-    "clean_parse_numbers": _PARSED
-    + "select quantity, percent as discount, list_price, cost_price, product_id from parsed",
-    "clean_discount_scale": _PARSED + "select product_id, discount from parsed",
-    "clean_derive_sales": _PARSED + "select product_id, quantity, discount, sales from parsed",
-    "clean_derive_profit": _PARSED + "select product_id, quantity, sales, profit from parsed",
+    "clean_parse_dates": _EXPORT
+    + f"""select order_id, product_id, {_DATE.format("order_date")}, {_DATE.format("ship_date")}
+         from export""",
+    "clean_parse_numbers": _NUMBERS
+    + "select order_id, product_id, quantity, percent as discount, list_price, cost_price"
+    + " from numbers",
+    "clean_discount_scale": _PRICED + "select order_id, product_id, quantity, discount from priced",
+    "clean_derive_sales": _PRICED
+    + "select order_id, product_id, quantity, discount, sales from priced",
+    "clean_derive_profit": _PRICED
+    + "select order_id, product_id, quantity, sales, sales - cost_price * quantity as profit"
+    + " from priced",
     "clean_drop_duplicates": _PARSED + f"select {_LINE} from unique_lines",
     "clean_drop_incomplete": _PARSED + f"select {_LINE} from complete_lines",
     "clean_customer_key": _NUMBERED.replace(_WITH_CUSTOMER_ID, _WITHOUT_CUSTOMER_ID)
@@ -554,29 +624,52 @@ _OVER_EXPORT = {
             _reference_check("location_id", "dim_location"),
         ]
     ),
-    "check_not_null": _STAR
-    + _counted(
-        "fact",
-        "column_name",
-        "null_rows",
-        {
-            c: f"{c} is null"
-            for c in ("order_line_id", "order_id", "order_date", "sales", "quantity")
-        },
+    "check_not_null": _STAR + _counted("fact", "column_name", "null_rows", _REQUIRED),
+    "check_widths": _STAR + _widths(),
+    "check_ranges": _PRICED
+    + ", parsed as (select *, sales - cost_price * quantity as profit from priced)"
+    + _counted("parsed", "column_name", "out_of_range_rows", _OUT_OF_RANGE),
+    "check_primary_keys_planted": _BAD_STAR
+    + " union all ".join(
+        [
+            _key_check("dim_customer", "customer_id", "bad_dim_customer"),
+            _key_check("dim_product", "product_id", "bad_dim_product"),
+            _key_check("dim_location", "location_id", "bad_dim_location"),
+            _key_check("fact_order_lines", "order_line_id", "bad_fact"),
+        ]
     ),
-    "check_widths": _STAR + _WIDTHS,
-    "check_ranges": _PARSED
-    + _counted(
-        "parsed",
-        "column_name",
-        "out_of_range_rows",
-        {
-            "sales": "abs(sales) >= 9999999999.995",
-            "quantity": "abs(quantity) >= 2147483647.5",
-            "discount": "abs(discount) >= 9.99995",
-            "profit": "abs(profit) >= 9999999999.995",
-        },
+    "check_foreign_keys_planted": _BAD_STAR
+    + " union all ".join(
+        [
+            _reference_check("customer_id", "bad_dim_customer", "bad_fact"),
+            _reference_check("product_id", "bad_dim_product", "bad_fact"),
+            _reference_check("location_id", "bad_dim_location", "bad_fact"),
+        ]
     ),
+    "check_not_null_planted": _BAD_STAR
+    + _counted("bad_fact", "column_name", "null_rows", _REQUIRED),
+    "check_widths_planted": _BAD_STAR + _widths("bad_"),
+    "check_ranges_planted": _PRICED.replace("from scaled)", "from large)").replace(
+        "priced as (",
+        """large as (
+    select * replace (case when product_id::bigint % 41 = 0 then quantity * 1e9
+                           else quantity end as quantity) from scaled
+),
+priced as (""",
+    )
+    + ", parsed as (select *, sales - cost_price * quantity as profit from priced)"
+    + _counted("parsed", "column_name", "out_of_range_rows", _OUT_OF_RANGE),
+    # Appending in two batches by date leaves nothing to tell from one cleaning of the whole.
+    "appended_fact": _STAR
+    + """select order_line_id, order_id, customer_id, product_id, sales, country, region, state,
+                city, postal_code
+         from fact join dim_location using (location_id)""",
+    "appended_customers": _STAR + "select * from dim_customer",
+    "appended_products": _STAR + "select * from dim_product",
+    "appended_locations": _STAR + "select * exclude (location_id) from dim_location",
+    "appended_top_regions": _NUMBERED
+    + f"""select region, {_MONEY}, {_pct('sum(profit)', 'sum(sales)')} as margin_pct
+          from lines group by 1""",
     "order_lines_enriched": _STAR + _ENRICHED,
     "dashboard_base": _STAR + _DASHBOARD,
 }

@@ -50,17 +50,24 @@ def filtered_lines(
 def filter_options(star: Star) -> DataFrame:
     """Values that occur on lines, per filter (``region``, ``category``).
 
-    Lines shrink to their distinct keys before the dimensions are joined.
+    One pass shrinks the lines to distinct (filter, key) pairs before the dimensions
+    are joined.
     """
+    filters = [("region", "location_id", star.locations), ("category", "product_id", star.products)]
 
-    def options(name: str, key: str, dimension: DataFrame) -> DataFrame:
-        used = star.lines.select(key).distinct()
-        values = used.join(dimension.select(key, name), key).select(F.col(name).alias("value"))
-        return values.na.drop().distinct().select(F.lit(name).alias("filter_name"), "value")
+    def pair(name: str, key: str) -> list[Column]:
+        return [F.lit(name).alias("filter_name"), F.col(key).cast("string").alias("_key")]
 
+    pairs = F.array(*(F.struct(*pair(name, key)) for name, key, _ in filters))
+    used = star.lines.select(F.inline(pairs)).distinct()
+    regions, categories = (
+        table.select(*pair(name, key), F.col(name).alias("value")) for name, key, table in filters
+    )
     return (
-        options("region", "location_id", star.locations)
-        .unionByName(options("category", "product_id", star.products))
+        used.join(regions.unionByName(categories), ["filter_name", "_key"])
+        .filter(F.col("value").isNotNull())
+        .select("filter_name", "value")
+        .distinct()
         .orderBy("filter_name", "value")
     )
 
