@@ -147,6 +147,13 @@ def test_personal_data_takes_linear_time():
         pii.disguised(text, pii.detect(text))
 
 
+def test_address_parts_of_any_length():
+    long_zeros, long_number = "0" * 5000 + "1.2.3.4", "9" * 5000 + ".1.1.1"
+    assert pii.detect(long_zeros) == [("ip", 0, len(long_zeros))]
+    assert pii.detect(long_number) == []
+    assert pii.detect("1.2.3.256 000.0.0.0") == [("ip", 10, 19)]
+
+
 def test_mixing_stays_within_a_block(spark, odd, none):
     shares = mixing.whole_shares([5.0, 1.0, 1.7, 0.01], 64)
     assert sum(shares) == 64 and min(shares) == 1

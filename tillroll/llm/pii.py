@@ -50,7 +50,8 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return found
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".") if part.lstrip("0")):
+        parts = [part.lstrip("0") for part in m[0].split(".")]
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
