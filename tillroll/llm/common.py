@@ -33,8 +33,11 @@ def packed(df: DataFrame) -> Column:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """64-bit hash of all columns: equal for repeated rows, and with the id a key for a row."""
-    return F.xxhash64(*(quoted(c) for c in df.columns))
+    """64-bit hash of all columns: equal for repeated rows, and with the id a key for a row.
+
+    The hash function skips NULLs, so whether a value is NULL is hashed as well.
+    """
+    return F.xxhash64(*(part for c in df.columns for part in (quoted(c), quoted(c).isNull())))
 
 
 def with_row_ids(df: DataFrame, label: str) -> DataFrame:
@@ -102,34 +105,39 @@ def keep_rows(docs: DataFrame, keys: DataFrame, once: bool = False) -> DataFrame
 
 
 def whole_groups(
-    batches: Iterator[pa.RecordBatch], keys: Sequence[str]
+    batches: Iterator[pa.RecordBatch], keys: Sequence[str], leaf: int | None = None
 ) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Sorted batches re-cut so that no group of equal ``keys`` is torn.
 
     Gives tables of complete groups with the first row of each group and the end. Only a
-    group that a batch leaves open is held back.
+    group that a batch leaves open is held back. With ``leaf``, groups are cut into
+    pieces of that many rows, and at most one piece is held back however long a group is.
     """
     rest = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
-        cuts = _group_starts(rows, keys)
+        cuts = _group_starts(rows, keys, leaf)
         last = int(cuts[-2]) if len(cuts) > 1 else 0
         if last:
             yield rows.slice(0, last), cuts[:-1]
         rest = rows.slice(last)
     if rest is not None and rest.num_rows:
-        yield rest, _group_starts(rest, keys)
+        yield rest, _group_starts(rest, keys, leaf)
 
 
-def _group_starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+def _group_starts(rows: pa.Table, keys: Sequence[str], leaf: int | None) -> np.ndarray:
     if not rows.num_rows:
         return np.array([0])
     columns = [rows.column(k).to_numpy() for k in keys]
     new = np.zeros(rows.num_rows - 1, bool)
     for c in columns:
         new |= c[1:] != c[:-1]
-    return np.concatenate([[0], np.flatnonzero(new) + 1, [rows.num_rows]])
+    cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [rows.num_rows]])
+    if leaf:
+        pieces = [np.arange(a, b, leaf) for a, b in zip(cuts[:-1], cuts[1:])]
+        cuts = np.concatenate([*pieces, cuts[-1:]])
+    return cuts
 
 
 def spanning_links(near: np.ndarray) -> list[tuple[int, int]]:

@@ -126,7 +126,7 @@ def _started(points: DataFrame, k: int, threshold: float, seed: int) -> DataFram
                     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, cuts in _leaves(batches):
+        for rows, cuts in whole_groups(batches, ["t", "dim"], leaf=LEAF):
             nodes = rows.column("node").to_numpy()
             found = []
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -136,11 +136,6 @@ def _started(points: DataFrame, k: int, threshold: float, seed: int) -> DataFram
             if found:
                 yield _pairs(*(np.concatenate(parts) for parts in zip(*found)))
 
-    def _leaves(batches):
-        for rows, cuts in whole_groups(batches, ["t", "dim"]):
-            small = [np.arange(a, b, LEAF) for a, b in zip(cuts[:-1], cuts[1:])]
-            yield rows, np.concatenate([*small, cuts[-1:]])
-
     order = ["t", "dim", "key", "node"]
     return (
         points.select("node", "v")
