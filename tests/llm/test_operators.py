@@ -286,3 +286,35 @@ def test_near_vectors(spark):
     assert sorted(((r["vec_id"], r["n_links"]) for r in got), key=least) == sorted(want, key=least)
     of = {r["vec_id"]: r["component_id"] for r in got}
     assert of[200] == 5 and of[None] == 5 and of[100] == 0 and of[300] == 300
+
+
+def test_mixing_follows_weights_over_many_periods():
+    rng = np.random.default_rng(3)
+    for weights in ([5.0, 1.0, 1.7, 0.01], rng.pareto(0.8, 700) + 0.001, [0.5, 0.25, 0.25]):
+        share = np.array(weights) / np.sum(weights)
+        done = mixing.cumulative_blocks(weights, 1024, 60)
+        ends = 1024 * np.arange(61)
+        assert (done.sum(axis=1) == ends).all() and (np.diff(done, axis=0) >= 0).all()
+        assert np.abs(done - ends[:, None] * share).max() < 1 + 1e-6
+
+
+def test_mixing_hundreds_of_sources(spark, monkeypatch):
+    """A hot source among hundreds, over several periods, and each in its share."""
+    monkeypatch.setattr(mixing, "PERIOD", 512)
+    sizes = {None: 1500, **{f"s{i}": 1 + i % 7 for i in range(500)}}
+    rows = [(i, "t", "en", s, 0) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = documents(spark, rows)
+    share = {s: n**0.9 for s, n in sizes.items()}
+    whole = sum(share.values())
+    for units, bound in ((mixing.MAX_UNITS, 2),):
+        got = mixing.mix(docs, block_rows=1, max_units=units).collect()
+        first = [r["doc"]["doc_id"] for r in got if r["epoch"] == 0]
+        assert sorted(first) == list(range(len(rows)))
+        by_slot = sorted(got, key=lambda r: r["slot"])
+        assert [r["slot"] for r in by_slot] == list(range(len(got))) and len(got) > 4 * 512
+        assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+        for t in range(256, len(got), 256):
+            counts = {}
+            for r in by_slot[:t]:
+                counts[r["source"]] = counts.get(r["source"], 0) + 1
+            assert max(abs(counts.get(s, 0) - t * w / whole) for s, w in share.items()) < bound

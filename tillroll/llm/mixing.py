@@ -1,30 +1,40 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-Weights become whole shares e of a period of Q slots. Block j of a source (from 0) is
-released at slot floor(j*Q/e) and due by slot ceil((j+1)*Q/e). Taking the released
-block with the earliest deadline in every slot meets all deadlines, because the shares
-fill the period exactly; so after any number of slots every source is less than one
-block away from its share. All shares are met exactly at the end of a period, hence
-the schedule of one period, at most 65,536 slots, repeats for ever and gives the slot
-of every block by arithmetic.
+Time is cut into periods of Q slots. At the end of period c every source has had its
+cumulative target w * c * Q rounded down or up; who is rounded up goes by the earliest
+deadline ceil((j + 1) / w), which no later end can contradict. So whatever the length of the
+run, every source is less than one block from its target there, and sources with less
+than one block a period get one in some periods only. Within a period the shares e
+are whole: block j of them is released at slot floor(j*Q/e) and due by ceil((j+1)*Q/e),
+and taking the released block with the earliest deadline in every slot meets all
+deadlines. Between ends of periods a source is thus less than two blocks from its target.
+Periods are planned on the executors, each by itself.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, packed, quoted, ranked, row_keys, table, with_row_ids
+from ..sources.scratch import written
+from .common import ROW, packed, quoted, ranked, table, with_row_ids
 
-MAX_PERIOD = 65_536
+PERIOD = 16_384
+MAX_UNITS = 16_384  # scheduled side by side; more sources are refused
 _SEED = 17
+_PLAN = "unit int, number bigint, slot bigint, release bigint, deadline bigint"
 
 
 def whole_shares(weights: list[float], period: int) -> list[int]:
-    """Shares that add up to ``period``, at least one each, by largest remainders."""
+    """Shares that add up to ``period``, at least one each, by largest remainders.
+
+    For a single period of few sources; ``mix`` follows cumulative targets instead.
+    """
     total, spare = sum(weights), period - len(weights)
     exact = [w / total * spare for w in weights]
     shares = [1 + int(x) for x in exact]
@@ -52,12 +62,54 @@ def period_schedule(shares: list[int]) -> list[list[tuple[int, int, int]]]:
     return done
 
 
+def cumulative_blocks(weights: Sequence[float], period: int, periods: int) -> np.ndarray:
+    """Blocks of each source before each period and after the last, less than one from the target."""
+    share = np.asarray(weights, np.float64) / np.sum(weights)
+    done = np.zeros((periods + 1, len(share)), np.int64)
+    for c in range(1, periods + 1):
+        # A target that is whole up to rounding counts as due right now.
+        least = np.floor(share * (c * period) - 1e-7).astype(np.int64)
+        done[c] = np.maximum(least, done[c - 1])
+        spare = c * period - int(done[c].sum())
+        started = np.flatnonzero(done[c] == least)
+        by_deadline = np.lexsort((started, (done[c][started] + 1) / share[started]))
+        done[c][started[by_deadline[:spare]]] += 1
+    return done
+
+
+def _plan(spark: SparkSession, done: np.ndarray, period: int) -> DataFrame:
+    """Slot, release and deadline of every block of every unit, period by period."""
+
+    def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                first, share = (np.frombuffer(row[name], np.int64) for name in ("first", "share"))
+                used = np.flatnonzero(share)
+                schedule = period_schedule(share[used].tolist())
+                places = np.array([x for blocks in schedule for x in blocks], np.int64)
+                places += row["period"] * period
+                number = np.concatenate([first[k] + np.arange(share[k]) for k in used])
+                unit = np.repeat(used, share[used]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (unit, number, *places.T)],
+                    names=["unit", "number", "slot", "release", "deadline"],
+                )
+
+    periods = [
+        (c, bytearray(done[c].tobytes()), bytearray((done[c + 1] - done[c]).tobytes()))
+        for c in range(len(done) - 1)
+    ]
+    rows = spark.createDataFrame(periods, "period bigint, first binary, share binary")
+    return written(rows.repartition(max(1, min(len(periods), 1000))).mapInArrow(planned, _PLAN), "mix-plan")
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     tempering: float = 0.9,
     block_rows: int = 16,
     source: str = "source",
+    max_units: int = MAX_UNITS,
 ) -> DataFrame:
     """Every row of ``docs`` as ``doc`` with source, epoch, block, place, slot, release, deadline.
 
@@ -67,66 +119,66 @@ def mix(
     error); without it a source of n rows gets n ** ``tempering``. The mixture ends
     with the slot in which the last source has been read once, so no row is dropped;
     sources that the targets favour start over and count their passes in ``epoch``.
-    Until then every source is within one block of its share of the slots.
+    Until then every source is within two blocks of its share of the slots, and within
+    one at the end of each period of 16,384 slots.
 
     NULL is a source like any other. Repeated rows are separate rows. An empty table
     gives an empty result. Any columns may be present: the row travels as one struct.
-    The list of sources (at most a quarter of 65,536) and its schedule are small by that bound and go
-    through the driver; ranks within a source, however hot, are built in small bins.
+    At most ``max_units`` weights and their counts per period go through the driver;
+    ranks within a source, however hot, are built in small bins.
     """
     spark = docs.sparkSession
-    rows = with_row_ids(docs.select(packed(docs).alias("doc"), quoted(source).alias("source")), "mix-rows")
-    limit = MAX_PERIOD // 4
-    counts = rows.groupBy("source").count().limit(limit + 1).collect()
-    if len(counts) > limit:
-        raise ValueError(f"more than {limit} sources; group them first")
-    counts.sort(key=lambda r: (r["source"] is not None, r["source"]))
-    names = [r["source"] for r in counts]
-    if weights is not None and (missing := [n for n in names if weights.get(n, 0) <= 0]):
-        raise ValueError(f"no positive weight for sources {missing[:5]}")
-    targets = [weights[n] if weights else r["count"] ** tempering for n, r in zip(names, counts)]
-    period = max(1024, 4 * len(names))
-    shares = whole_shares(targets, period) if names else []
-    schedule = period_schedule(shares) if names else []
-    blocks = [-(-r["count"] // block_rows) for r in counts]
-    end = max(
-        ((n - 1) // e * period + plan[(n - 1) % e][0] + 1 for n, e, plan in zip(blocks, shares, schedule)),
-        default=0,
+    rows = with_row_ids(docs.select(packed(docs).alias("doc"), quoted(source).cast("string").alias("source")), "mix-rows")
+    counts = rows.groupBy("source").agg(F.count("*").alias("n"))
+    if weights is None:
+        counts = counts.withColumn("target", F.pow("n", F.lit(float(tempering))))
+    else:
+        given = [(name, float(w)) for name, w in weights.items()]
+        given = spark.createDataFrame(given, "w_source string, target double")
+        counts = counts.join(given, F.col("source").eqNullSafe(F.col("w_source")), "left").drop("w_source")
+    counts = written(
+        counts.withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("bigint")), "mix-counts"
     )
-    plan_rows = [
-        (name, e, n, [list(x) for x in plan])
-        for name, e, n, plan in zip(names, shares, blocks, schedule)
-    ]
-    plans = spark.createDataFrame(
-        plan_rows, "p_source string, share int, blocks bigint, plan array<array<int>>"
+    missing = counts.filter("target is null or not target > 0").select("source").limit(5).collect()
+    if missing:
+        raise ValueError(f"no positive weight for sources {[r['source'] for r in missing]}")
+    size = counts.agg(F.count("*"), F.sum("n")).first()
+    fits = size[0] <= max_units
+    if not fits:
+        raise ValueError(f"more than {max_units} sources; group them first")
+    head = counts.orderBy(F.desc("n"), "source").collect()
+    units = [(r["target"], r["blocks"]) for r in head]
+    whole = sum(target for target, _ in units)
+    slots = max((int(blocks * whole / target * (1 + 1e-12)) + 2 for target, blocks in units), default=0)
+    period = max(1, min(PERIOD, slots))
+    done = cumulative_blocks([t for t, _ in units], period, -(-slots // period)) if units else np.zeros((1, 0), np.int64)
+    plan = _plan(spark, done, period)
+    totals = done[-1].tolist()
+    owners = spark.createDataFrame(
+        [(r["source"], k, r["blocks"], totals[k]) for k, r in enumerate(head)],
+        "p_source string, p_unit int, n_blocks bigint, total bigint",
     )
-    ranks = ranked(rows.select(ROW, "source"), ["source"], sum(r["count"] for r in counts), _SEED)
-    # One row per source and one schedule entry per slot of the period: bounded as said above.
-    slots = ranks.join(F.broadcast(plans), F.col("source").eqNullSafe(F.col("p_source")))
-    passes = F.ceil(
-        F.lit(end) * F.col("share") / F.lit(period) / F.col("blocks")
-    ) + 1  # one more than can fit; the slot decides
-    number = F.col("epoch") * F.col("blocks") + F.col("block")
-    cycle = F.expr("number div share")
-    entry = F.get("plan", (F.col("number") % F.col("share")).cast("int"))
-    scheduled = (
-        slots.withColumn("block", F.expr(f"rank div {block_rows}"))
-        .withColumn("place", (F.col("rank") % block_rows).cast("int"))
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), passes.cast("int"))))
-        .withColumn("number", number)
-        .withColumns({"cycle": cycle, "entry": entry})
-        .select(
-            ROW,
-            "epoch",
-            "block",
-            "place",
-            *(
-                (F.col("cycle") * period + F.get("entry", F.lit(i))).alias(name)
-                for i, name in enumerate(("slot", "release", "deadline"))
-            ),
+    # One row per unit with a source of its own: at most max_units.
+    owners = F.broadcast(owners)
+    last = plan.join(owners, (F.col("unit") == F.col("p_unit")) & (F.col("number") == F.col("n_blocks") - 1))
+    end = last.agg(F.max("slot")).first()[0]
+    ranks = ranked(rows.select(ROW, "source"), ["source"], size[1] or 0, _SEED)
+    own = F.col("source").eqNullSafe(F.col("p_source"))
+    columns = [ROW, "epoch", "block", "place", "slot", "release", "deadline"]
+
+    def numbered(df: DataFrame) -> DataFrame:
+        """Rows with the number of their block in every pass that may begin."""
+        passes = F.ceil(F.col("total") / F.col("n_blocks")).cast("int")
+        return (
+            df.withColumn("block", F.expr(f"rank div {block_rows}"))
+            .withColumn("place", (F.col("rank") % block_rows).cast("int"))
+            .withColumn("epoch", F.explode(F.sequence(F.lit(0), passes - 1)))
+            .withColumn("wanted", F.col("epoch") * F.col("n_blocks") + F.col("block"))
         )
-        .filter(F.col("slot") < end)
-    )
+
+    same = (F.col("p_unit") == F.col("unit")) & (F.col("wanted") == F.col("number"))
+    scheduled = numbered(ranks.join(owners, own)).join(plan, same).select(*columns)
+    scheduled = scheduled.filter(F.col("slot") <= (-1 if end is None else end))
     return rows.join(scheduled, ROW).select(
         "doc", "source", "epoch", "block", "place", "slot", "release", "deadline"
     )
