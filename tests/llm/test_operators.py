@@ -296,17 +296,21 @@ def test_mixing_follows_weights_over_many_periods():
         ends = 1024 * np.arange(61)
         assert (done.sum(axis=1) == ends).all() and (np.diff(done, axis=0) >= 0).all()
         assert np.abs(done - ends[:, None] * share).max() < 1 + 1e-6
+        counts = np.zeros(len(share))
+        for slot, (k, _) in enumerate(mixing.turns(list(weights), 5000), 1):
+            counts[k] += 1
+            assert np.abs(counts - slot * share).max() < 1 + 1e-6
 
 
 def test_mixing_hundreds_of_sources(spark, monkeypatch):
-    """A hot source among hundreds, over several periods, and each in its share."""
+    """A hot source among hundreds, over several periods, with and without shared units."""
     monkeypatch.setattr(mixing, "PERIOD", 512)
     sizes = {None: 1500, **{f"s{i}": 1 + i % 7 for i in range(500)}}
     rows = [(i, "t", "en", s, 0) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
     docs = documents(spark, rows)
     share = {s: n**0.9 for s, n in sizes.items()}
     whole = sum(share.values())
-    for units, bound in ((mixing.MAX_UNITS, 2),):
+    for units, bound in ((mixing.MAX_UNITS, 2), (64, 4)):
         got = mixing.mix(docs, block_rows=1, max_units=units).collect()
         first = [r["doc"]["doc_id"] for r in got if r["epoch"] == 0]
         assert sorted(first) == list(range(len(rows)))

@@ -25,7 +25,7 @@ from ..sources.scratch import written
 from .common import ROW, packed, quoted, ranked, table, with_row_ids
 
 PERIOD = 16_384
-MAX_UNITS = 16_384  # scheduled side by side; more sources are refused
+MAX_UNITS = 4096  # scheduled side by side; more sources share units
 _SEED = 17
 _PLAN = "unit int, number bigint, slot bigint, release bigint, deadline bigint"
 
@@ -77,6 +77,23 @@ def cumulative_blocks(weights: Sequence[float], period: int, periods: int) -> np
     return done
 
 
+def turns(weights: Sequence[float], slots: int) -> list[tuple[int, int]]:
+    """(source, number of its block) in each of ``slots`` slots, less than one block from the target."""
+    total = sum(weights)
+    waiting = [(0, k) for k in range(len(weights))]  # release, source
+    ready: list[tuple[float, int]] = []  # deadline, source
+    done, out = [0] * len(weights), []
+    for slot in range(slots):
+        while waiting and (waiting[0][0] <= slot or not ready):
+            _, k = heapq.heappop(waiting)
+            heapq.heappush(ready, ((done[k] + 1) * total / weights[k], k))
+        _, k = heapq.heappop(ready)
+        out.append((k, done[k]))
+        done[k] += 1
+        heapq.heappush(waiting, (int(done[k] * total / weights[k]), k))
+    return out
+
+
 def _plan(spark: SparkSession, done: np.ndarray, period: int) -> DataFrame:
     """Slot, release and deadline of every block of every unit, period by period."""
 
@@ -103,6 +120,37 @@ def _plan(spark: SparkSession, done: np.ndarray, period: int) -> DataFrame:
     return written(rows.repartition(max(1, min(len(periods), 1000))).mapInArrow(planned, _PLAN), "mix-plan")
 
 
+def _shared_plan(small: DataFrame, totals: DataFrame, plan: DataFrame) -> DataFrame:
+    """(s_source, n_blocks, s_total, number, slot, release, deadline) of sources that share units."""
+
+    def dealt(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("target", "descending"), ("source", "ascending")])
+        given = turns(rows.column("target").to_pylist(), rows.column("total")[0].as_py())
+        k, number = np.array(given, np.int64).reshape(-1, 2).T
+        taken = np.bincount(k, minlength=rows.num_rows)
+        return pa.table(
+            {
+                "s_source": rows.column("source").take(pa.array(k)),
+                "n_blocks": rows.column("blocks").take(pa.array(k)),
+                "s_total": pa.array(taken[k]),
+                "number": pa.array(number),
+                "d_unit": rows.column("unit").take(pa.array(k)),
+                "turn": pa.array(np.arange(len(k))),
+            }
+        )
+
+    kinds = "s_source string, n_blocks bigint, s_total bigint, number bigint, d_unit int, turn bigint"
+    dealt_out = small.join(totals, "unit").groupBy("unit").applyInArrow(dealt, kinds)
+    own = plan.withColumnRenamed("number", "p_number")
+    same = (F.col("d_unit") == F.col("unit")) & (F.col("turn") == F.col("p_number"))
+    return written(
+        dealt_out.join(own, same).select(
+            "s_source", "n_blocks", "s_total", "number", "slot", "release", "deadline"
+        ),
+        "mix-shared",
+    )
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
@@ -122,6 +170,10 @@ def mix(
     Until then every source is within two blocks of its share of the slots, and within
     one at the end of each period of 16,384 slots.
 
+    With more than ``max_units`` sources the larger ones are scheduled that way, and the others
+    share units by hash, whose slots are dealt out once more on the executors; such a
+    source is within four blocks of its share, and release and deadline are its unit's.
+
     NULL is a source like any other. Repeated rows are separate rows. An empty table
     gives an empty result. Any columns may be present: the row travels as one struct.
     At most ``max_units`` weights and their counts per period go through the driver;
@@ -144,10 +196,25 @@ def mix(
         raise ValueError(f"no positive weight for sources {[r['source'] for r in missing]}")
     size = counts.agg(F.count("*"), F.sum("n")).first()
     fits = size[0] <= max_units
-    if not fits:
-        raise ValueError(f"more than {max_units} sources; group them first")
-    head = counts.orderBy(F.desc("n"), "source").collect()
+    head = counts.orderBy(F.desc("n"), "source").limit(max_units if fits else max_units // 2).collect()
     units = [(r["target"], r["blocks"]) for r in head]
+    small = None
+    if not fits:
+        largest = spark.createDataFrame([(r["source"],) for r in head], "l_source string")
+        share = F.pmod(F.xxhash64("source"), F.lit(max_units - len(head))).cast("int")
+        small = written(
+            counts.join(F.broadcast(largest), F.col("source").eqNullSafe(F.col("l_source")), "left_anti")
+            .select("source", "target", "blocks", share.alias("part")),
+            "mix-small",
+        )
+        # A unit needs as many slots as let its slowest source be read once.
+        slowest = (F.ceil(F.sum("target") * F.max(F.col("blocks") / F.col("target"))) + 1).cast("bigint")
+        parts = small.groupBy("part").agg(F.sum("target").alias("target"), slowest.alias("blocks"))
+        parts = parts.orderBy("part").collect()
+        numbers = [(r["part"], len(units) + i) for i, r in enumerate(parts)]
+        units += [(r["target"], r["blocks"]) for r in parts]
+        numbers = spark.createDataFrame(numbers, "part int, unit int")
+        small = small.join(F.broadcast(numbers), "part").drop("part")
     whole = sum(target for target, _ in units)
     slots = max((int(blocks * whole / target * (1 + 1e-12)) + 2 for target, blocks in units), default=0)
     period = max(1, min(PERIOD, slots))
@@ -178,6 +245,18 @@ def mix(
 
     same = (F.col("p_unit") == F.col("unit")) & (F.col("wanted") == F.col("number"))
     scheduled = numbered(ranks.join(owners, own)).join(plan, same).select(*columns)
+    if small is not None:
+        sizes = [(k, n) for k, n in enumerate(totals)]
+        shared = _shared_plan(small, F.broadcast(spark.createDataFrame(sizes, "unit int, total bigint")), plan)
+        end = max(end, shared.filter("number = n_blocks - 1").agg(F.max("slot")).first()[0])
+        # These sources are none of the largest, so a join by source has no hot key.
+        known = shared.groupBy("s_source").agg(
+            F.max("n_blocks").alias("n_blocks"), F.max("s_total").alias("total")
+        )
+        rest = ranks.join(owners, own, "left_anti")
+        rest = numbered(rest.join(known, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source", "number"))
+        same = F.col("source").eqNullSafe(F.col("s_source")) & (F.col("wanted") == F.col("number"))
+        scheduled = scheduled.unionByName(rest.join(shared.drop("n_blocks"), same).select(*columns))
     scheduled = scheduled.filter(F.col("slot") <= (-1 if end is None else end))
     return rows.join(scheduled, ROW).select(
         "doc", "source", "epoch", "block", "place", "slot", "release", "deadline"
