@@ -322,3 +322,16 @@ def test_mixing_hundreds_of_sources(spark, monkeypatch):
             for r in by_slot[:t]:
                 counts[r["source"]] = counts.get(r["source"], 0) + 1
             assert max(abs(counts.get(s, 0) - t * w / whole) for s, w in share.items()) < bound
+
+
+def test_audit_reports_a_recall_of_zero(spark):
+    base = np.random.default_rng(2).standard_normal((40, 16))
+    u = np.concatenate([base, base[:1] + 0.001])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(u)]
+    points = spark.createDataFrame(rows, "node bigint, n bigint, u array<double>")
+    none = points.select("node", (F.col("n") - 1).alias("links"))
+    assert neighbours._audit(points, none, 0.95, 100) == 0.0
+    assert neighbours._audit(points.filter("node < 40"), none, 0.95, 100) == 1.0
+    # One vector at first; all of them as too few have links.
+    assert neighbours._audit(points, none, 0.95, 1) == 0.0

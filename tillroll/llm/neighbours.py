@@ -19,6 +19,8 @@ TABLES = 6  # random orders that start the graph, and again per repair
 LEAF = 64
 ROUNDS = 3
 AUDITED = 2048
+LINKED = 256  # audited vectors with links that an audit needs, unless it has grown to
+MOST_AUDITED = 32_768
 RECALL = 0.97
 TILE = 256
 _SLACK = 1e-5  # single precision decides what is looked at, double what is a link
@@ -319,10 +321,9 @@ def _resolved(points: DataFrame, lists: DataFrame, pairs: DataFrame, k: int, thr
     )
 
 
-def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int) -> float:
-    """Mean share of true links that were found, over sampled vectors that have any.
-
-    ``sample`` vectors, at most 2,048 by default, are compared with all others.
+def _sampled_recall(points: DataFrame, resolved: DataFrame, threshold: float, sample: int):
+    """(share, linked, asked): mean share of true links that were found, over sampled vectors
+    that have any; how many these were; how many vectors were compared with all others.
     """
     chosen = points.orderBy(F.xxhash64(F.lit(3), "node"), "node").limit(sample)
     asked = [(r["node"], np.array(r["u"]), r["n"]) for r in chosen.select("node", "u", "n").collect()]
@@ -341,11 +342,12 @@ def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int
                     continue
                 values = part.column("u").flatten().to_numpy().reshape(part.num_rows, size)
                 nodes, n = part.column("node").to_numpy(), part.column("n").to_numpy()
-                ids = np.array([node for node, _ in group])
-                near = np.stack([u for _, u in group]) @ values.T >= threshold
-                near &= ids[:, None] != nodes[None, :]
-                for node, count in zip(ids.tolist(), (near @ n).tolist()):
-                    true[node] = true.get(node, 0) + count
+                for some in (group[i : i + 1024] for i in range(0, len(group), 1024)):
+                    ids = np.array([node for node, _ in some])
+                    near = np.stack([u for _, u in some]) @ values.T >= threshold
+                    near &= ids[:, None] != nodes[None, :]
+                    for node, count in zip(ids.tolist(), (near @ n).tolist()):
+                        true[node] = true.get(node, 0) + count
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(true), pa.int64()), pa.array(list(true.values()), pa.int64())],
             names=["q", "real"],
@@ -361,7 +363,17 @@ def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int
     own = points.select(F.col("node").alias("p"), F.col("n").alias("copies"))
     found = true.join(resolved, F.col("q") == F.col("node")).join(own, F.col("q") == F.col("p"))
     share = (F.col("links") - F.col("copies") + 1) / F.col("real")
-    return found.agg(F.avg(share)).first()[0] or 1.0
+    mean, linked = found.agg(F.avg(share), F.count("*")).first()
+    return (1.0 if mean is None else mean), linked, len(asked)
+
+
+def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int) -> float:
+    """Mean recall of sampled vectors; the sample grows until enough of them have links."""
+    while True:
+        mean, linked, asked = _sampled_recall(points, resolved, threshold, sample)
+        if linked >= LINKED or asked < sample or sample >= MOST_AUDITED:
+            return mean
+        sample *= 4
 
 
 def near_vectors(
