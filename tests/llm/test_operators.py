@@ -335,3 +335,36 @@ def test_audit_reports_a_recall_of_zero(spark):
     assert neighbours._audit(points.filter("node < 40"), none, 0.95, 100) == 1.0
     # One vector at first; all of them as too few have links.
     assert neighbours._audit(points, none, 0.95, 1) == 0.0
+
+
+def pair_table(spark, crowd):
+    """200 isolated pairs at a cosine of about 0.96, and a crowd of near copies."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((200, 32))
+    pairs = base + 0.28 * rng.standard_normal((200, 32))
+    many = rng.standard_normal(32) + 0.01 * rng.standard_normal((crowd, 32))
+    m = np.concatenate([base, pairs, many])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>")
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    return df, ((m @ m.T) >= 0.95).sum(axis=1) - 1
+
+
+def test_audit_looks_at_isolated_pairs_apart_from_crowds(spark):
+    df, links = pair_table(spark, 3000)
+    points = df.select(
+        F.col("vec_id").alias("node"), F.lit(1).cast("bigint").alias("n"), F.col("embedding").alias("u")
+    )
+    points = points.withColumn("u", F.udf(neighbours.unit, "array<double>")("u")).cache()
+    lost = [(i, int(n) if i >= 400 else 0) for i, n in enumerate(links)]
+    resolved = spark.createDataFrame(lost, "node bigint, links bigint")
+    assert neighbours._audit(points, resolved, 0.95, 4000) == 0.0
+
+
+def test_failed_repairs_end_in_an_exact_pass(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TABLES", 1)
+    monkeypatch.setattr(neighbours, "LEAF", 2)
+    monkeypatch.setattr(neighbours, "EXACT_BLOCK", 128)
+    df, links = pair_table(spark, 60)
+    got = neighbours.near_vectors(df, rounds=0, repairs=0).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(links.tolist()))
+    assert {r["audited_recall"] for r in got} == {1.0}

@@ -17,10 +17,11 @@ THRESHOLD = 0.95
 NEIGHBOURS = 8
 TABLES = 6  # random orders that start the graph, and again per repair
 LEAF = 64
-ROUNDS = 3
+ROUNDS = 20
 AUDITED = 2048
 LINKED = 256  # audited vectors with links that an audit needs, unless it has grown to
 MOST_AUDITED = 32_768
+EXACT_BLOCK = 2048
 RECALL = 0.97
 TILE = 256
 _SLACK = 1e-5  # single precision decides what is looked at, double what is a link
@@ -165,11 +166,11 @@ def _lists(pairs: DataFrame, old: DataFrame | None, k: int) -> DataFrame:
     )
 
 
-def _descended(points: DataFrame, lists: DataFrame, k: int, threshold: float) -> DataFrame:
+def _descended(points: DataFrame, lists: DataFrame, k: int, threshold: float, seed: int) -> DataFrame:
     """Pairs from comparing, around each node, its neighbours and those it is a neighbour of.
 
-    Groups larger than a leaf are cut at random into tasks of about that size. Pairs of
-    two old members were compared before.
+    Groups larger than a leaf are cut at random into tasks of about that size, another
+    way for each ``seed``. Pairs of two old members of a smaller group were compared before.
     """
     around = (
         lists.select(F.col("node").alias("hub"), F.col("other").alias("member"), "fresh")
@@ -189,7 +190,7 @@ def _descended(points: DataFrame, lists: DataFrame, k: int, threshold: float) ->
         F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("bound")
     )
     ready = written(points.select("node", "v", "dim").join(full, "node", "left"), "nn-points")
-    part = F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part")
+    part = F.pmod(F.xxhash64(F.lit(seed), "member"), F.col("parts")).cast("int").alias("part")
     keys = ["hub", "part", "dim"]
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +208,7 @@ def _descended(points: DataFrame, lists: DataFrame, k: int, threshold: float) ->
 
     return (
         around.join(hubs, F.col("hub") == F.col("h"))
-        .select("hub", part, "member", "fresh")
+        .select("hub", part, "member", (F.col("fresh") | (F.col("parts") > 1)).alias("fresh"))
         .join(ready, F.col("member") == F.col("node"))
         .select(*keys, "member", "fresh", F.coalesce("bound", F.lit(-2.0).cast("float")).alias("bound"), "v")
         .repartition(*keys)
@@ -321,11 +322,13 @@ def _resolved(points: DataFrame, lists: DataFrame, pairs: DataFrame, k: int, thr
     )
 
 
-def _sampled_recall(points: DataFrame, resolved: DataFrame, threshold: float, sample: int):
+def _sampled_recall(
+    points: DataFrame, group: DataFrame, resolved: DataFrame, threshold: float, sample: int
+) -> tuple[float, int, int]:
     """(share, linked, asked): mean share of true links that were found, over sampled vectors
-    that have any; how many these were; how many vectors were compared with all others.
+    of ``group`` that have any; how many these were; how many vectors were compared with all others.
     """
-    chosen = points.orderBy(F.xxhash64(F.lit(3), "node"), "node").limit(sample)
+    chosen = group.orderBy(F.xxhash64(F.lit(3), "node"), "node").limit(sample)
     asked = [(r["node"], np.array(r["u"]), r["n"]) for r in chosen.select("node", "u", "n").collect()]
     queries = points.sparkSession.sparkContext.broadcast(asked)
 
@@ -367,13 +370,71 @@ def _sampled_recall(points: DataFrame, resolved: DataFrame, threshold: float, sa
     return (1.0 if mean is None else mean), linked, len(asked)
 
 
-def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int) -> float:
-    """Mean recall of sampled vectors; the sample grows until enough of them have links."""
-    while True:
-        mean, linked, asked = _sampled_recall(points, resolved, threshold, sample)
-        if linked >= LINKED or asked < sample or sample >= MOST_AUDITED:
-            return mean
-        sample *= 4
+def _audit(points: DataFrame, resolved: DataFrame, threshold: float, sample: int, k: int = NEIGHBOURS) -> float:
+    """Mean recall of sampled vectors, of the worse of two groups.
+
+    Vectors with fewer than ``k`` found links are audited apart from those in crowds,
+    which are easy. Each sample grows until enough of its vectors have links.
+    """
+    counted = points.join(
+        resolved.select(F.col("node").alias("r"), "links"), F.col("node") == F.col("r")
+    ).withColumn("crowded", F.col("links") - F.col("n") + 1 >= k)
+    worst = 1.0
+    for group in (counted.filter("not crowded"), counted.filter("crowded")):
+        size = sample
+        while True:
+            mean, linked, asked = _sampled_recall(points, group, resolved, threshold, size)
+            if linked >= LINKED or asked < size or size >= MOST_AUDITED:
+                break
+            size *= 4
+        worst = min(worst, mean)
+    return worst
+
+
+def _compared_all(points: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Pairs from comparing every vector with every other, a block of vectors per scan.
+
+    Per member of a piece its ``k`` best links there, and links that span what is near.
+    """
+    spark = points.sparkSession
+    blocks = -(-points.count() // EXACT_BLOCK)
+    cut = written(
+        points.select("node", "v", "dim", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("b")), "nn-blocks"
+    )
+    pairs = None
+    for b in range(blocks):
+        by_size: dict[int, list] = {}
+        for r in cut.filter(F.col("b") == b).toLocalIterator():
+            by_size.setdefault(r["dim"], []).append((r["node"], bytes(r["v"])))
+        asked = spark.sparkContext.broadcast(by_size)
+
+        def compared(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
+            own = {
+                size: (np.array([n for n, _ in rows]), np.frombuffer(b"".join(v for _, v in rows), np.float32).reshape(-1, size))
+                for size, rows in asked.value.items()
+            }
+            for batch in batches:
+                sizes = batch.column("dim").to_numpy()
+                for size, (theirs, others) in own.items():
+                    at = np.flatnonzero(sizes == size)
+                    for i in range(0, len(at), EXACT_BLOCK):
+                        part = batch.take(pa.array(at[i : i + EXACT_BLOCK]))
+                        nodes, vectors = part.column("node").to_numpy(), _matrix(part.column("v"))
+                        near = vectors @ others.T >= threshold - _SLACK
+                        near &= nodes[:, None] != theirs[None, :]
+                        a, b = near.any(axis=1), near.any(axis=0)
+                        a |= np.isin(nodes, theirs[b])
+                        b &= ~np.isin(theirs, nodes)
+                        if a.any():
+                            both = np.concatenate([nodes[a], theirs[b]]), np.concatenate([vectors[a], others[b]])
+                            n = len(both[0])
+                            found = _best(*both, np.full(n, threshold - 2 * _SLACK), None, k, threshold)
+                            yield _pairs(*found)
+
+        new = written(cut.mapInArrow(compared, _PAIR), "nn-exhaustive")
+        pairs = new if pairs is None else pairs.unionByName(new)
+        asked.unpersist()
+    return pairs
 
 
 def near_vectors(
@@ -391,12 +452,14 @@ def near_vectors(
 
     Vectors of the same direction are folded into classes. A graph of the ``k`` nearest
     known partners starts from random orders and is refined by comparing neighbours of
-    neighbours until few lists change or ``rounds`` are over. Every pair that is near
+    neighbours until no list changes or ``rounds`` are over. Every pair that is near
     in any comparison also joins its component, whether or not a list has room.
     Links are confirmed in double precision. A list full of links is saturated: then it
     is enlarged to its whole component, whose links are counted exactly, tile by tile.
-    The result is audited against brute force for ``audited`` sampled vectors; below
-    ``recall`` further random orders are added, at most ``repairs`` times.
+    The result is audited against brute force for ``audited`` sampled vectors with fewer
+    than ``k`` links found and as many of the others; while either group is below
+    ``recall`` further random orders are added, at most ``repairs`` times. If that is
+    not enough every vector is compared with every other, in quadratic time.
 
     NULL and zero vectors and those with NULL or non-finite components link with
     nothing, as do vectors of different lengths. A NULL vec_id counts as a vector but
@@ -417,22 +480,27 @@ def near_vectors(
         ),
         "nn-points",
     )
-    lists, pairs, found = None, None, 0.0
+    lists, pairs, found, cuts = None, None, 0.0, 0
     for attempt in range(repairs + 1):
         new = written(_started(points, k, threshold, 101 + attempt), "nn-started")
         pairs = new if pairs is None else pairs.unionByName(new)
         lists = written(_lists(new, lists, k), "nn-lists")
-        size = lists.count()
         for _ in range(rounds):
-            if lists.filter("fresh").count() <= 0.02 * size:
+            if lists.filter("fresh").isEmpty():
                 break
-            new = written(_descended(points, lists, k, threshold), "nn-descended")
+            cuts += 1
+            new = written(_descended(points, lists, k, threshold, cuts), "nn-descended")
             pairs = pairs.unionByName(new.filter("link"))
             lists = written(_lists(new, lists, k), "nn-lists")
         resolved = _resolved(points, lists, pairs, k, threshold)
-        found = _audit(points, resolved, threshold, audited)
+        found = _audit(points, resolved, threshold, audited, k)
         if found >= recall:
             break
+    else:
+        pairs = _compared_all(points, k, threshold)
+        lists = written(_lists(pairs, None, k), "nn-lists")
+        resolved = _resolved(points, lists, pairs, k, threshold)
+        found = _audit(points, resolved, threshold, audited, k)
     named = classes.join(resolved, "node").select("h", "h2", "least", "component", "links")
     named = written(named, "nn-named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
