@@ -368,3 +368,24 @@ def test_failed_repairs_end_in_an_exact_pass(spark, monkeypatch):
     got = neighbours.near_vectors(df, rounds=0, repairs=0).collect()
     assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(links.tolist()))
     assert {r["audited_recall"] for r in got} == {1.0}
+
+
+@pytest.mark.parametrize(
+    "kind, disguise",
+    [
+        ("email", "jane (at) example dot com"), ("email", "jane [at] example dot com"),
+        ("email", "jane@example dot com"), ("email", "jane at mail.example [dot] com"),
+        ("phone", "+1 555 867 five three oh nine"), ("card", "4111 1111 1111 one one one one"),
+        ("ip", "one dot one dot one dot one"), ("ip", "10.one.0 dot 1"),
+    ],
+)
+def test_personal_data_in_mixed_disguises(kind, disguise):
+    text = f"so {disguise}; bye"
+    assert (kind, 3, 3 + len(disguise)) in pii.disguised(text, pii.detect(text))
+
+
+def test_mixed_words_that_hide_nothing():
+    for text in ("meet at the shop", "meet at example.com", "in 1999, one of two", "one dot two", "the one 5 at 3"):
+        assert pii.disguised(text, pii.detect(text)) == []
+    for text in ("one " * 50_000, "1 one." * 30_000, "a@b." * 50_000, "1 2 3 " * 50_000):
+        pii.disguised(text, pii.detect(text))

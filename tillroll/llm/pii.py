@@ -88,22 +88,34 @@ _NAMES = "|".join(_SPELLED)
 _HIDDEN = "[\\u00ad\\u200b-\\u200d\\u2060\\ufeff]+"
 _MARK = r"\s{{0,3}}(?:\(\s{{0,3}}{0}\s{{0,3}}\)|\[\s{{0,3}}{0}\s{{0,3}}\]|\{{\s{{0,3}}{0}\s{{0,3}}\}})\s{{0,3}}"
 _AT, _DOT = _MARK.format("(?:at|@)"), _MARK.format(r"(?:dot|\.)")
-# "name at host dot tld" is a disguise only as a whole: "at" alone is an ordinary word.
+# Spoken, bracketed and literal signs may be mixed. "at" alone is an ordinary word: with it
+# at least one dot must be spoken or bracketed.
+_HOST = "[A-Za-z0-9-]{1,64}"
+_STRONG_DOT = rf"(?:\s{{1,3}}dot\s{{1,3}}|{_DOT})"
+_ANY_DOT = rf"(?:{_STRONG_DOT}|\.)"
 _SPOKEN = (
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s{1,3}at\s{1,3}"
-    r"[A-Za-z0-9-]{1,64}(?:\s{1,3}dot\s{1,3}[A-Za-z0-9-]{1,64})+"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}"
+    rf"(?:(?:{_AT}|@){_HOST}(?:{_ANY_DOT}{_HOST})+"
+    rf"|\s{{1,3}}at\s{{1,3}}{_HOST}(?:\.{_HOST})*{_STRONG_DOT}{_HOST}(?:{_ANY_DOT}{_HOST})*)"
 )
 _GAP = r"(?:\s{1,3}dot\s{1,3}|[\s,.-]{1,3})"
+# Numerals and spelled digits in one run; _rewrite counts its digits.
 _DIGIT_WORDS = (
-    rf"(?<![A-Za-z0-9])(?:plus\s{{1,3}})?(?:{_NAMES}|[0-9])"
-    rf"(?:{_GAP}(?:{_NAMES}|[0-9])(?![A-Za-z0-9])){{6,}}"
+    rf"(?<![A-Za-z0-9])(?:plus\s{{1,3}})?(?:{_NAMES}|[0-9]{{1,19}})"
+    rf"(?:{_GAP}(?:{_NAMES}|[0-9]{{1,19}})(?![A-Za-z0-9]))+"
 )
+_SINGLE_DIGITS = re.compile(
+    rf"(?<![A-Za-z0-9])(?:plus\s{{1,3}})?[0-9](?:{_GAP}[0-9](?![A-Za-z0-9])){{6,}}", re.IGNORECASE
+)
+_SPELLED_DIGIT = re.compile(_NAMES, re.IGNORECASE)
+_NUMBER = rf"(?:{_NAMES}|[0-9]+)(?:[\s,-]{{1,3}}(?:{_NAMES}|[0-9]+))*+"
+_SPELLED_IP = re.compile(rf"{_NUMBER}(?:(?:\s+dot\s+|\.){_NUMBER}){{3}}", re.IGNORECASE)
 _DISGUISE = re.compile(
     f"(?P<hidden>{_HIDDEN})|(?P<at>{_AT})|(?P<dot>{_DOT})"
     f"|(?P<spoken>{_SPOKEN})|(?P<digits>{_DIGIT_WORDS})",
     re.IGNORECASE,
 )
-_SPOKEN_PART = re.compile(r"(?P<at>\s+at\s+)|(?P<dot>\s+dot\s+)", re.IGNORECASE)
+_SPOKEN_PART = re.compile(rf"(?P<at>{_AT}|\s+at\s+)|(?P<dot>{_STRONG_DOT})", re.IGNORECASE)
 _DIGIT_PART = re.compile(
     rf"(?P<plus>plus\s+)|(?P<name>{_NAMES})|(?P<dot>\s+dot\s+)|(?P<gap>[\s,.-]+)", re.IGNORECASE
 )
@@ -111,13 +123,14 @@ _DIGIT_PART = re.compile(
 _CUES = [
     re.compile(_HIDDEN),
     re.compile(r"[(\[{]\s{0,3}(?:at|dot|@|\.)\s{0,3}[)\]}]"),
-    re.compile(rf"(?:{_NAMES}|[0-9])(?:{_GAP}(?:{_NAMES}|[0-9])){{6}}"),
+    re.compile(rf"[0-9](?:{_GAP}[0-9]){{6}}"),
+    re.compile(rf"(?:{_NAMES}){_GAP}(?:{_NAMES}|[0-9])|[0-9]{_GAP}(?:{_NAMES})"),
 ]
 
 
 def _has_cue(text: str) -> bool:
     folded = text.lower()
-    spoken = "dot" in folded and re.search(r"\sat\s", folded) and re.search(r"\sdot\s", folded)
+    spoken = re.search(r"\sdot\s", folded) and ("@" in folded or re.search(r"\sat\s", folded))
     return bool(spoken) or any(cue.search(folded) for cue in _CUES)
 
 
@@ -153,14 +166,28 @@ class Normalised:
                     by = "@" if part.lastgroup == "at" else "."
                     self._replace(source, offset + part.start(), offset + part.end(), by)
             elif kind == "digits":
-                for part in _DIGIT_PART.finditer(m[0]):
-                    by = {"plus": "+", "dot": ".", "gap": ""}.get(part.lastgroup)
-                    by = _SPELLED[part[0].lower()] if by is None else by
-                    self._replace(source, offset + part.start(), offset + part.end(), by)
+                self._rewrite_digits(source, *m.span())
             else:
                 self._replace(source, *m.span(), {"hidden": "", "at": "@", "dot": "."}[kind])
         self._put(source[self.read :], self.read, len(source), True)
 
+    def _rewrite_digits(self, source: str, start: int, end: int) -> None:
+        run = source[start:end]
+        spelled = _SPELLED_DIGIT.findall(run)
+        if not spelled:
+            runs = [m.span() for m in _SINGLE_DIGITS.finditer(source, start, end)]
+        elif len(spelled) + len(_DIGIT.findall(run)) >= 7:
+            runs = [(start, end)]
+        else:
+            runs = [m.span() for m in _SPELLED_IP.finditer(source, start, end)]
+        for a, b in runs:
+            address = _SPELLED_IP.fullmatch(source, a, b)
+            for part in _DIGIT_PART.finditer(source, a, b):
+                by = {"plus": "+", "dot": ".", "gap": ""}.get(part.lastgroup)
+                by = "." if address and part[0] == "." else by
+                by = _SPELLED[part[0].lower()] if by is None else by
+                self._replace(source, part.start(), part.end(), by)
+
     def to_source(self, start: int, end: int) -> tuple[int, int]:
         """Source range of a range of the rewritten text; rewritten pieces count whole."""
         a, b = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
@@ -208,8 +235,9 @@ def find_personal_data(docs: DataFrame, carried: list[str]) -> DataFrame:
     Base spans are leftmost matches of fixed patterns in the original text. The method
     adds what the same patterns find in a normalised text: look-alike letters and full-
     width forms become ASCII, invisible characters go, bracketed "at" and "dot", whole
-    "name at host dot tld" phrases and runs of seven or more spelled digits become what
-    they stand for. Added spans are mapped back to code points of the original;
+    "name at host dot tld" phrases in any mix of spoken, bracketed and literal signs, and
+    runs of seven or more digits, some spelled, or of four parts of an address become
+    what they stand for. Added spans are mapped back to code points of the original;
     ``n_added`` counts them. Base spans always stay.
 
     A NULL text counts as empty. Texts are searched whole, in time linear in their
