@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_windows, decontaminate, url_rules, warc
+from . import chat_windows, collocations, decontaminate, hard_negatives, lines, url_rules, warc
 from .chat_windows import op4_chat_formatting
+from .collocations import op12_collocations
 from .decontaminate import op10_decontamination
+from .hard_negatives import op13_hard_negatives
+from .lines import op11_line_dedup
 from .mixing import op2_source_mixing
 from .neighbours import op3_embedding_dedup
 from .pii import op9_personal_data
@@ -27,6 +30,9 @@ QUERIES = {
         op8_warc_fixity,
         op9_personal_data,
         op10_decontamination,
+        op11_line_dedup,
+        op12_collocations,
+        op13_hard_negatives,
     )
 }
 
@@ -35,4 +41,7 @@ ORACLE = {
     "op6_url_filters": url_rules.ORACLE,
     "op8_warc_fixity": warc.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_line_dedup": lines.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
