@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,8 +72,8 @@ class _Block:
     def row(self) -> dict:
         codes = np.concatenate(self.parts)
         return {
-            "vocabulary": b" ".join(w for w, c in self.codes.items() if c > 0),
-            "codes": codes.astype("<i4").tobytes(),
+            "vocabulary": zstandard.compress(b" ".join(w for w, c in self.codes.items() if c > 0)),
+            "codes": zstandard.compress(codes.astype("<i4").tobytes()),
             "words": int(np.count_nonzero(codes > 0)),
         }
 
@@ -125,116 +126,113 @@ def occurrence_blocks(docs: DataFrame, context: int, block_words: int = BLOCK_WO
     return written(texts.mapInArrow(read, _BLOCK_DDL), "occurrences")
 
 
-def _joined(codes: np.ndarray, level: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge-join of k-phrases with words by piece and adjacent position.
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One block at a time, unpacked; ``at`` are the places where a frequent phrase starts."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            codes = np.frombuffer(zstandard.decompress(row["codes"]), "<i4")
+            words = zstandard.decompress(row["vocabulary"]).split(b" ")
+            marks = row.get("marks")
+            if marks is None:
+                at = np.flatnonzero(codes)
+            else:
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8), count=len(codes)))
+            yield {**row, "codes": codes, "words": [b"", *words], "at": at}
 
-    ``level`` numbers the frequent k-phrase that starts at each place (0: none). Gives the
-    places where both k-phrases of a longer one are frequent, and the longer one's key.
-    """
-    if len(codes) <= k:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ahead = codes[k:]
-    fits = (level[:-k] > 0) & (ahead != 0)
-    if k > 1:
-        fits &= level[1 : len(codes) - k + 1] > 0
-    places = np.flatnonzero(fits)
-    base = int(np.abs(codes).max()) + 1
-    return places, level[places].astype(np.int64) * base + np.abs(ahead[places])
 
+def _ids(columns: list[np.ndarray]) -> np.ndarray:
+    """One number per tuple of word codes, equal for equal tuples."""
+    base = max(int(c.max(initial=0)) for c in columns) + 1
+    ids = columns[0].astype(np.int64)
+    for column in columns[1:]:
+        ids = np.unique(ids * base + column, return_inverse=True)[1]
+    return ids
 
-def _named(keys: np.ndarray, codes: np.ndarray, names: list[bytes], words: list[bytes]) -> list[bytes]:
-    base = int(np.abs(codes).max()) + 1
-    return [names[a - 1] + b" " + words[b - 1] for a, b in zip(*np.divmod(keys, base))]
 
+def _joined(at: np.ndarray, k: int) -> np.ndarray:
+    """Merge-join by piece and adjacent position: where both k-phrases of a longer one are frequent."""
+    return at[:-1][np.diff(at) == 1] if k else at
 
-def _split(joined: bytes, mark: bytes) -> list[bytes]:
-    return joined.split(mark) if joined else []
 
+def _columns(codes: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray]:
+    return [np.abs(codes[at + i]) for i in range(k)]
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """One block at a time."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
 
-
-_COUNTS_DDL = "block bigint, lang string, code bigint, phrase string, n bigint"
+_COUNTS_DDL = "block bigint, lang string, phrase string, n bigint"
 
 
 def _counts(blocks: DataFrame, k: int) -> DataFrame:
-    """Per block, how often each phrase of k words occurs; ``blocks`` has level k-1 for k > 1."""
+    """Per block, how often each phrase of k words occurs whose shorter phrases are frequent."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            codes = np.frombuffer(row["codes"], "<i4")
-            words = _split(row["vocabulary"], b" ")
-            if k == 1:
-                found, n = np.unique(codes[codes > 0], return_counts=True)
-                phrases = [words[c - 1] for c in found]
-            else:
-                level = np.frombuffer(row["level"], "<i4")
-                places, keys = _joined(codes, level, k - 1)
-                found, n = np.unique(keys[codes[places + k - 1] > 0], return_counts=True)
-                phrases = _named(found, codes, _split(row["names"], b"\n"), words)
-            if len(found):
+            codes, words = row["codes"], row["words"]
+            at = _joined(row["at"], k - 1)
+            at = at[codes[at + k - 1] > 0]
+            _, first, n = np.unique(
+                _ids(_columns(codes, at, k)), return_index=True, return_counts=True
+            )
+            named = ([words[c] for c in column] for column in _columns(codes, at[first], k))
+            phrases = [b" ".join(phrase) for phrase in zip(*named)]
+            if phrases:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(found), row["block"], np.int64)),
-                        pa.array([row["lang"]] * len(found), pa.string()),
-                        pa.array(found.astype(np.int64)),
+                        pa.array(np.full(len(phrases), row["block"], np.int64)),
+                        pa.array([row["lang"]] * len(phrases), pa.string()),
                         pa.array(phrases, pa.binary()).cast(pa.string()),
                         pa.array(n.astype(np.int64)),
                     ],
-                    names=["block", "lang", "code", "phrase", "n"],
+                    names=["block", "lang", "phrase", "n"],
                 )
 
     return blocks.mapInArrow(count, _COUNTS_DDL)
 
 
 def _frequent(blocks: DataFrame, k: int, min_count: int) -> DataFrame:
-    """Phrases of k words that occur often enough: lang, phrase, f, and where (block, code).
+    """Phrases of k words that occur often enough: lang, phrase, f, and in which blocks.
 
     Sorted by phrase and group-counted. What arrives is one row per phrase and block, so a
     very common phrase is no hot key.
     """
-    same = Window.partitionBy("lang", "phrase")
+    same = Window.partitionBy("phrase", "lang")
     counted = _counts(blocks, k).withColumn("f", F.sum("n").over(same))
     counted = counted.withColumn("first", F.min("block").over(same) == F.col("block"))
     return written(counted.filter(F.col("f") >= min_count).drop("n"), f"phrases-{k}")
 
 
 def _semi_joined(blocks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    """The occurrence relation of frequent phrases of k words, written: blocks with ``level`` and ``names``."""
-    kept = frequent.groupBy(F.col("block").alias("_block")).agg(F.collect_list("code").alias("kept"))
+    """The occurrence relation of frequent phrases: rare words are gone, ``marks`` has a bit
+    for every place where a frequent phrase of k words starts."""
+    kept = frequent.groupBy(F.col("block").alias("_block")).agg(F.collect_list("phrase").alias("kept"))
     joined = blocks.join(kept, F.col("block") == F.col("_block")).drop("_block")
-    names = [*_names(), "level", "names"]
+    names = [c for c, _ in _BLOCK_FIELDS]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            codes = np.frombuffer(row["codes"], "<i4")
-            words = _split(row["vocabulary"], b" ")
-            kept = np.sort(np.array(row["kept"], np.int64))
-            level = np.zeros(len(codes), "<i4")
+            codes = row["codes"]
+            number = {w: c for c, w in enumerate(row["words"])}
+            kept = [
+                np.array([number[w] for w in column], np.int32)
+                for column in zip(*(phrase.encode().split(b" ") for phrase in row["kept"]))
+            ]
+            at = _joined(row["at"], k - 1)
+            both = [np.concatenate(c) for c in zip(kept, _columns(codes, at, k))]
+            ids, n = _ids(both), len(row["kept"])
+            at = at[np.isin(ids[n:], ids[:n])]
+            marks = np.zeros(len(codes), bool)
+            marks[at] = True
             if k == 1:
-                places, keys = np.arange(len(codes)), np.abs(codes).astype(np.int64)
-                phrases = [words[c - 1] for c in kept]
-            else:
-                places, keys = _joined(codes, np.frombuffer(row["level"], "<i4"), k - 1)
-                phrases = _named(kept, codes, _split(row["names"], b"\n"), words)
-            at = np.minimum(np.searchsorted(kept, keys), len(kept) - 1)
-            level[places] = np.where(kept[at] == keys, at + 1, 0)
-            new = {**row, "level": level.tobytes(), "names": b"\n".join(phrases)}
+                codes = np.where(marks, codes, 0).astype("<i4")
+            row["codes"] = zstandard.compress(codes.tobytes())
+            row["words"] = int(np.count_nonzero(codes > 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([new[c]], t) for c, t in _BLOCK_FIELDS]
-                + [pa.array([new[c]], pa.binary()) for c in ("level", "names")],
-                names=names,
+                [pa.array([row[c]], t) for c, t in _BLOCK_FIELDS]
+                + [pa.array([np.packbits(marks).tobytes()], pa.binary())],
+                names=[*names, "marks"],
             )
 
-    return written(joined.mapInArrow(mark, f"{_BLOCK_DDL}, level binary, names binary"), f"occurrences-{k}")
-
-
-def _names() -> list[str]:
-    return [c for c, _ in _BLOCK_FIELDS]
+    return joined.mapInArrow(mark, f"{_BLOCK_DDL}, marks binary")
 
 
 def _part(words: Column, start: Column, length: Column) -> Column:
@@ -304,9 +302,9 @@ def collocations(
     inside a longer one that has at least ``absorbed_percent`` of its count is left out.
 
     The occurrence relation is stored in blocks, sorted by piece and position, words
-    numbered per block. It is merge-joined with itself by adjacent position; phrases are counted per
-    block, then over all blocks; blocks keep the places of frequent phrases, and only
-    these are extended. Counts are of phrases themselves, not of hashes.
+    numbered per block. It is merge-joined with itself by adjacent position; phrases are
+    counted per block, then over all blocks; blocks keep the places of frequent phrases, and
+    only these are extended. Counts are of phrases themselves, not of hashes.
 
     A NULL or empty text has no words, a NULL language is ``und``. Repeated documents
     count each time. Long texts are cut into blocks without losing phrases. A language
@@ -321,6 +319,8 @@ def collocations(
         levels.append(found.filter("first").select("lang", "phrase", "f", F.lit(k).alias("size")))
         if k < max_words:
             relation = _semi_joined(relation, found, k)
+            # The last one is read once only.
+            relation = written(relation, f"occurrences-{k}") if k + 1 < max_words else relation
     frequent = reduce(DataFrame.unionByName, levels)
 
     around = _absorbed(frequent, max_words).withColumnRenamed("lang", "_lang")
