@@ -17,9 +17,10 @@ from ..sources.scratch import written
 from .common import table
 
 # Words that share one vocabulary. More words in a block mean fewer rows per phrase, but longer ones.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 # Bytes of one text that are split into words at a time.
 _SEGMENT = 1 << 20
+_PHRASES_AT_ONCE = 50_000
 
 # A-Z lower-cased; what ends a piece becomes a full stop, a tab a space.
 _PLAIN = bytes(
@@ -173,15 +174,16 @@ def _counts(blocks: DataFrame, k: int) -> DataFrame:
             _, first, n = np.unique(
                 _ids(_columns(codes, at, k)), return_index=True, return_counts=True
             )
-            named = ([words[c] for c in column] for column in _columns(codes, at[first], k))
-            phrases = [b" ".join(phrase) for phrase in zip(*named)]
-            if phrases:
+            for start in range(0, len(first), _PHRASES_AT_ONCE):
+                part = slice(start, start + _PHRASES_AT_ONCE)
+                named = ([words[c] for c in column] for column in _columns(codes, at[first[part]], k))
+                phrases = pa.array(map(b" ".join, zip(*named)), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(phrases), row["block"], np.int64)),
                         pa.array([row["lang"]] * len(phrases), pa.string()),
-                        pa.array(phrases, pa.binary()).cast(pa.string()),
-                        pa.array(n.astype(np.int64)),
+                        phrases.cast(pa.string()),
+                        pa.array(n[part].astype(np.int64)),
                     ],
                     names=["block", "lang", "phrase", "n"],
                 )
