@@ -97,7 +97,7 @@ _BEST_DDL = "anchor bigint, slot int, score bigint, other_id bigint"
 
 
 def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors.to_pylist()), "<i4").reshape(-1, dim)
+    return np.frombuffer(b"".join(vectors.to_pylist()), "<i4").reshape(len(vectors), dim)
 
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
