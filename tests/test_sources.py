@@ -1,6 +1,7 @@
 """CSV forms, round trips, append, layout and SQL over the views."""
 
 import datetime as dt
+import random
 from pathlib import Path
 
 import pytest
@@ -155,3 +156,136 @@ def test_scratch_tables_can_be_discarded(spark):
         assert written(spark.range(3), "three").count() == 3
         assert set(shared.iterdir()) > before
     assert set(shared.iterdir()) == before
+
+
+def _nameless(spark, rows):
+    names = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity", "Region"]
+    raw = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    return build_star(clean(raw))
+
+
+def test_append_keeps_customers_made_from_orders_apart(spark, tmp_path):
+    path = str(tmp_path / "star")
+    first = [("1", "1/2/2024", "p1", "100", "1", "West"), ("2", "1/3/2024", "p2", "50", "1", "East")]
+    second = [("2", "2/1/2024", "p3", "7", "1", "East"), ("3", "2/2/2024", "p1", "5", "1", "West"),
+              ("4", "2/3/2024", "p3", "10", "1", "South")]
+    tables.write_star(_nameless(spark, first), path)
+    tables.write_star(_nameless(spark, second), path, mode="append", made_customers=True)
+    star = tables.read_star(spark, path)
+    owners = {(r["order_id"], r["customer_id"]) for r in star.lines.collect()}
+    assert owners == {("1", "C000000"), ("2", "C000001"), ("3", "C000002"), ("4", "C000003")}
+    assert sorted(r["customer_id"] for r in star.customers.collect()) == sorted(c for _, c in owners)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_batch_can_be_repeated_and_resumed(spark, tmp_path, monkeypatch, fmt):
+    path = str(tmp_path / "star")
+    first = [("1", "1/2/2024", "p1", "100", "1", "West"), ("2", "1/3/2024", "p2", "50", "1", "East")]
+    second = [("3", "2/2/2024", "p1", "5", "1", "West"), ("4", "2/3/2024", "p3", "10", "1", "South")]
+    tables.write_star(_nameless(spark, first), path, fmt)
+    batch = _nameless(spark, second)
+
+    def append():
+        return tables.write_star(batch, path, fmt, "append", made_customers=True, batch="feb.1")
+
+    real = tables._laid_out
+
+    def failing(name, table):
+        if name == "fact_order_lines":
+            raise RuntimeError("lost")
+        return real(name, table)
+
+    monkeypatch.setattr(tables, "_laid_out", failing)
+    with pytest.raises(RuntimeError):
+        append()
+    monkeypatch.undo()
+    assert [t.count() for t in tables.read_star(spark, path, fmt).tables().values()] == [2, 2, 2, 2]
+    want = {"dim_customer": 4, "dim_product": 3, "dim_location": 3, "fact_order_lines": 4}
+    for _ in range(3):
+        assert append() == want
+    star = tables.read_star(spark, path, fmt)
+    assert sorted(r["order_line_id"] for r in star.lines.collect()) == [1, 2, 3, 4]
+    assert {r["rows"] for r in tables.committed_batches(spark, path).collect()} == {1, 2}
+    tables.write_star(_nameless(spark, first), path, fmt)
+    assert tables.line_count(tables.read_star(spark, path, fmt)) == 2
+    for bad in ("", "../x", "_x", "a/b"):
+        with pytest.raises(ValueError):
+            tables.write_star(batch, path, fmt, "append", batch=bad)
+
+
+def test_a_batch_of_catalog_tables_can_be_repeated_and_resumed(spark, monkeypatch):
+    spark.sql("create database if not exists repeats")
+    tables.save_tables(small_star(spark, [line(1)]), "repeats", "overwrite")
+    batch = small_star(spark, [line(2)])
+    for _ in range(2):
+        tables.save_tables(batch, "repeats", "append", batch="b1")
+    assert spark.table("repeats.fact_order_lines").count() == 2
+    # The fact is written, but the end is not noted; then nothing is written at all.
+    for failing, rows in (("fact_order_lines", 2), (None, 3)):
+        real = tables._laid_out
+
+        def lost(name, table):
+            if name == failing:
+                raise RuntimeError("lost")
+            return real(name, table)
+
+        monkeypatch.setattr(tables, "_laid_out", lost)
+        try:
+            tables.save_tables(batch, "repeats", "append", batch="b2")
+        except RuntimeError:
+            pass
+        monkeypatch.undo()
+        assert spark.table("repeats.fact_order_lines").count() == rows
+    notes = spark.table("repeats.loaded_batches").filter("not done or batch <> 'b2'")
+    notes.write.mode("overwrite").saveAsTable("repeats.kept_notes")
+    spark.table("repeats.kept_notes").write.mode("overwrite").saveAsTable("repeats.loaded_batches")
+    tables.save_tables(batch, "repeats", "append", batch="b2")
+    assert spark.table("repeats.fact_order_lines").count() == 3
+
+
+@pytest.fixture
+def small_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "700")
+    yield
+    spark.conf.set(name, before)
+
+
+AWKWARD = [
+    'a,"x\ny",c', "p,q,r", '"he said ""hi""",2,"3\n\n4"', '5" disc,6,7', 'k,"l"m,n', ",,", 'z,"",""""',
+    '"a,b\nc,""d""\n",e,"f"', 'u,v"w"x,"y\n"', "long," + "w" * 300 + ',"' + "x,\n" * 200 + '"', "short",
+    "ä,ö\"ü,ß", '1,2,3,4', '"\r\n",b,c\r', '"q"\r', "",
+]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_multi_line_files_are_split_and_read_alike(spark, tmp_path, small_splits, seed):
+    rng = random.Random(seed)
+    for name in ("one", "two"):
+        rows = [rng.choice(AWKWARD) for _ in range(60)]
+        ending = "" if seed % 2 else "\n"
+        (tmp_path / f"{name}.csv").write_bytes(("A,B,C\n" + "\n".join(rows) + ending).encode())
+    names = ["A", "B", "C"]
+    whole = spark.read.options(multiLine=True, quote='"', escape='"', header=True, lineSep="\n").csv(
+        str(tmp_path), schema="A string, B string, C string"
+    )
+    got = raw_csv.read_raw(spark, str(tmp_path), multiline=True)
+    assert got.rdd.getNumPartitions() > 8
+    want = [tuple(v.rstrip("\r") if v and v == r[-1] else v for v in r) for r in whole.collect()]
+    assert sorted(map(repr, (tuple(r[c] for c in names) for r in got.collect()))) == sorted(map(repr, want))
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path, small_splits):
+    (tmp_path / "x.csv").write_text("A,B\n1,2\n3,\"" + "open\n" * 300)
+    rows = raw_csv.read_raw(spark, str(tmp_path), multiline=True).collect()
+    assert len(rows) == 2 and max(len(r["B"]) for r in rows) >= 1499
+
+
+@pytest.mark.parametrize("line, out, inside", [
+    ("a,b", False, True), ('a,"b', True, False), ('"a"",b', True, False), ('a"b', False, False),
+    ('5" x,"y"', False, False), ('""', False, True), ('"', True, False), ('x","y', True, True), ("", False, True),
+])
+def test_state_of_quotes_after_a_line(line, out, inside):
+    assert raw_csv.open_after(line, False) is out
+    assert raw_csv.open_after(line, True) is inside

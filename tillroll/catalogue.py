@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from .functions.parse import parsed_date
 from .operators import append, cleaning, quality, star
 from .plans import analysis, dashboard, measures, report, views
 from .schemas import DATE_FORMATS, LOCATION_COLUMNS, Star
+from .sources import tables
 from .sources.mapped import mapped_star, raw_export
-from .sources.scratch import written
+from .sources.scratch import checkpoint_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,22 +159,47 @@ def _planted_ranges(raw: DataFrame) -> DataFrame:
     return quality.range_check(lines)
 
 
-def _appended(raw: DataFrame) -> Star:
-    """The export cleaned in two batches by order date, the second appended to the first."""
+def _two_batches(raw: DataFrame) -> tuple[Star, Star]:
+    """The export cleaned in two batches by order date."""
     early = parsed_date(F.col("Order Date"), DATE_FORMATS) < F.lit(dt.date(1995, 6, 1))
     first = star.build_star(cleaning.clean(raw.filter(early), scale="percent"))
     late = raw.filter(~F.coalesce(early, F.lit(False)))
-    batch = star.build_star(cleaning.clean(late, scale="percent"))
-    return append.extended(first, append.continued(first, batch))
+    return first, star.build_star(cleaning.clean(late, scale="percent"))
 
 
-def _appended_fact(raw: DataFrame) -> DataFrame:
-    whole = _appended(raw)
+def _appended(raw: DataFrame, made_customers: bool = False) -> Star:
+    """The second batch appended to the first."""
+    first, batch = _two_batches(raw)
+    return append.extended(first, append.continued(first, batch, made_customers))
+
+
+def _located(whole: Star) -> DataFrame:
     return whole.lines.join(whole.locations, "location_id").select(
         "order_line_id", "order_id", "customer_id", "product_id", "sales", *LOCATION_COLUMNS
     )
 
 
+def _appended_fact(raw: DataFrame) -> DataFrame:
+    return _located(_appended(raw))
+
+
+def _appended_twice(raw: DataFrame) -> DataFrame:
+    """Both batches stored, the second one twice under its name."""
+    spark = raw.sparkSession
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/star-{uuid.uuid4().hex}"
+    first, batch = _two_batches(raw)
+    tables.write_star(first, folder)
+    for _ in range(2):
+        tables.write_star(batch, folder, mode="append", batch="second")
+    return _located(tables.read_star(spark, folder))
+
+
+def _appended_order_customers(raw: DataFrame) -> DataFrame:
+    """Customers made from orders, as the export names none."""
+    whole = _appended(raw.drop("Customer ID", "Customer Name"), made_customers=True)
+    return whole.lines.select("order_id", "customer_id").distinct()
+
+
 # A reader's choice on the report page.
 EXAMPLE_SLICERS = {
     "regions": ["ASIA", "EUROPE"],
@@ -212,6 +239,8 @@ QUERIES: dict[str, Query] = {
     "check_ranges_planted": _over_export(_planted_ranges),
     # append
     "appended_fact": _over_export(_appended_fact),
+    "appended_twice": _over_export(_appended_twice),
+    "appended_order_customers": _over_export(_appended_order_customers),
     "appended_customers": _over_export(lambda raw: _appended(raw).customers),
     "appended_products": _over_export(lambda raw: _appended(raw).products),
     "appended_locations": _over_export(
@@ -266,4 +295,7 @@ QUERIES: dict[str, Query] = {
     "region_subcategory_matrix": _over_star(
         lambda built: measures.region_subcategory_matrix(built)
     ),
+    "region_subcategory_matrix_chosen": _over_star(
+        lambda built: measures.region_subcategory_matrix(built, ["ASIA"])
+    ),
 }

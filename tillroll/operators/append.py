@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DIM_LOCATION, FACT_ORDER_LINES, LOCATION_COLUMNS, Star
@@ -19,28 +19,51 @@ def _unknown(table: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return table.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
 
 
+def _made_number() -> Column:
+    """Number in an id that ``add_customer_key`` made, NULL in any other."""
+    made = F.regexp_extract("customer_id", r"^C([0-9]{6,})$", 1)
+    return F.when(made != "", made.cast("bigint"))
+
+
+def _made_from(star: Star) -> DataFrame:
+    """(source, label, customer_id, number): the name, or else the order, that each made id stands for.
+
+    An order has one made id, so its lines are folded before customers are joined.
+    """
+    made = star.customers.withColumn("number", _made_number()).filter("number is not null")
+    names = made.filter("customer_name is not null").select(
+        F.lit("name").alias("source"), F.col("customer_name").alias("label"), "customer_id", "number"
+    )
+    nameless = made.filter("customer_name is null").select(F.col("customer_id").alias("_id"), "number")
+    orders = star.lines.select("order_id", "customer_id").distinct()
+    return names.unionByName(
+        orders.join(nameless, F.col("customer_id") == F.col("_id")).select(
+            F.lit("order").alias("source"), F.col("order_id").alias("label"), "customer_id", "number"
+        )
+    )
+
+
 def _renamed_customers(stored: Star, batch: Star) -> DataFrame:
-    """(old, new) customer ids of a batch whose ids were made from names.
+    """(old, new) customer ids of a batch whose ids were made from names or orders.
 
-    A known name keeps its stored id; new ones follow the highest number in use, in
-    the order of the batch. Customers without a name keep theirs.
+    A known name or order keeps its stored id; new ones follow the highest number in use,
+    in the order of the batch. Ids of another form, ``C-00001`` among them, stay.
     """
-    made = F.regexp_extract("customer_id", r"^C([0-9]{6,})$", 1)
-    number = F.when(made != "", made.cast("bigint"))
     known = (
-        stored.customers.filter(number.isNotNull() & F.col("customer_name").isNotNull())
-        .groupBy(F.col("customer_name").alias("_name"))
-        .agg(F.min("customer_id").alias("_id"))
+        _made_from(stored)
+        .groupBy(F.col("source").alias("_source"), F.col("label").alias("_label"))
+        .agg(F.min_by("customer_id", "number").alias("_id"))
     )
-    start = stored.customers.agg(F.max(number)).first()[0]
-    start = -1 if start is None else start
-    named = batch.customers.filter(number.isNotNull() & F.col("customer_name").isNotNull())
-    found = named.join(known, F.col("customer_name") == F.col("_name"), "left")
+    highest = stored.customers.agg(F.max(_made_number())).first()[0]
+    start = -1 if highest is None else highest
+    same = (F.col("source") == F.col("_source")) & (F.col("label") == F.col("_label"))
+    found = _made_from(batch).join(known, same, "left")
+    found = written(found.select("customer_id", "number", "_id"), "made-customers")
     kept = found.filter("_id is not null").select(
         F.col("customer_id").alias("old"), F.col("_id").alias("new")
     )
-    fresh = found.filter("_id is null").select("customer_id")
-    fresh = numbered(fresh, "_n", [F.col("customer_id").asc()]).select(
+    fresh = found.filter("_id is null").select("customer_id", "number")
+    fresh = numbered(fresh, "_n", [F.col("number").asc()]).select(
         F.col("customer_id").alias("old"),
         F.format_string("C%06d", F.col("_n") + F.lit(start)).alias("new"),
     )
@@ -53,7 +76,8 @@ def continued(stored: Star, batch: Star, made_customers: bool = False) -> Star:
     Known customers and products are left out, the first batch decides their attributes.
     Locations are matched with NULL equal to NULL; new ones and all lines are numbered
     after the highest stored id. With ``made_customers`` the batch's customer ids came
-    from ``add_customer_key``: they start anew in each batch and are matched by name.
+    from ``add_customer_key``: they start anew in each batch and are matched by the name, or
+    else the order, that they were made from.
     Stored rows are never rewritten.
     """
     customers, lines = batch.customers, batch.lines

@@ -296,7 +296,12 @@ _OVER_LINES = {
         _total(f"sum(profit) filter (region = '{r}')", f'"{r}"')
         for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     )
-    + " from lines group by 1",
+    + f""", {_total("sum(profit) filter (region is null)", "other_regions")}
+       from lines group by 1""",
+    "region_subcategory_matrix_chosen": f"""
+        select sub_category, {_total("sum(profit) filter (region = 'ASIA')", '"ASIA"')},
+               {_total("sum(profit) filter (region is null or region <> 'ASIA')", "other_regions")}
+        from lines group by 1""",
 }
 
 # --- defective export and its cleaning --------------------------------------------------
@@ -664,6 +669,16 @@ priced as (""",
     + """select order_line_id, order_id, customer_id, product_id, sales, country, region, state,
                 city, postal_code
          from fact join dim_location using (location_id)""",
+    # Loading the second batch again changes nothing.
+    "appended_twice": _STAR
+    + """select order_line_id, order_id, customer_id, product_id, sales, country, region, state,
+                city, postal_code
+         from fact join dim_location using (location_id)""",
+    # Without customer columns every order is a customer, numbered in order of appearance.
+    "appended_order_customers": _NUMBERED
+    + """select order_id, 'C' || lpad(cast(row_number() over (order by min(order_line_id)) - 1
+                                   as varchar), 6, '0') as customer_id
+         from lines group by order_id""",
     "appended_customers": _STAR + "select * from dim_customer",
     "appended_products": _STAR + "select * from dim_product",
     "appended_locations": _STAR + "select * exclude (location_id) from dim_location",

@@ -167,18 +167,35 @@ def sales_by_state(star: Star) -> DataFrame:
     )
 
 
-def region_subcategory_matrix(star: Star) -> DataFrame:
-    """Profit per sub-category, one column per region of the location dimension.
+# Regions that become columns of the matrix without being named by the caller.
+MOST_REGIONS = 100
 
-    Regions are few; a missing one is the column ``unknown``.
+
+def _all_regions(star: Star) -> list[str]:
+    """Regions of the location dimension, if they are few enough to be columns."""
+    found = star.locations.filter("region is not null").select("region").distinct()
+    names = sorted(r["region"] for r in found.limit(MOST_REGIONS + 1).collect())
+    if len(names) > MOST_REGIONS:
+        raise ValueError(f"over {MOST_REGIONS} regions: name those to show")
+    return names
+
+
+def region_subcategory_matrix(star: Star, regions: Sequence[str] | None = None) -> DataFrame:
+    """Profit per sub-category, one column per chosen region and ``other_regions`` for the rest.
+
+    Without a choice every region has a column, up to 100 of them, and only lines
+    without a region are left for the last one. Names must differ in more than case.
     """
-    region = F.coalesce("region", F.lit("unknown"))
-    found = star.locations.select(region.alias("region")).distinct().orderBy("region").collect()
+    chosen = list(_all_regions(star) if regions is None else regions)
+    names = [r.lower() for r in chosen]
+    if len({*names, "sub_category", "other_regions"}) < len(names) + 2:
+        raise ValueError(f"{chosen} can't name the columns of one table")
+    region = F.col("region")
+    sums = [F.sum(F.when(region == r, F.col("profit"))).alias(r) for r in chosen]
+    rest = region.isNull() | ~region.isin(chosen)
     return (
         order_lines(star, "sub_category", "region", "profit")
-        .withColumn("region", region)
         .groupBy("sub_category")
-        .pivot("region", [r["region"] for r in found])
-        .agg(F.sum("profit"))
+        .agg(*sums, F.sum(F.when(rest, F.col("profit"))).alias("other_regions"))
         .orderBy("sub_category")
     )

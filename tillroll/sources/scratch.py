@@ -44,5 +44,10 @@ def discarded(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for name in _open.pop():
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(spark, name)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there, from whatever store it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
