@@ -69,11 +69,12 @@ def format_windows(
     A turn counts ``ceil(chars / chars_per_token)`` tokens (at least one) plus four for
     its marks. What ``budget`` leaves after the system turn and ``history`` is for new
     turns. Prefix sums cut the conversation where they cross multiples of half of that,
-    and before and after any turn longer than the half. So a window stays within the
-    budget unless one turn alone exceeds it; turns are never cut. Each window after the
-    first begins with ``context_turns`` repeated turns: the system turn, if the
+    and before and after any turn longer than the half. Turns are never cut. Each window
+    after the first begins with ``context_turns`` repeated turns: the system turn, if the
     conversation opens with one, and the last turns of the window before, up to
-    ``history`` tokens. ``loss_spans`` are code point ranges of ``formatted`` that hold
+    ``history`` tokens and to what the window's own turns leave. So a window stays within
+    the budget unless the system turn and one other exceed it, or one turn alone does.
+    ``loss_spans`` are code point ranges of ``formatted`` that hold
     the escaped texts of new assistant turns; repeated ones are left out, so each is
     learned once.
 
@@ -118,6 +119,14 @@ def format_windows(
             "rest": F.sum("tokens").over(to_end),
         }
     )
+    # What the next window has room for beside the system turn and its own turns.
+    next_window = turns.groupBy(F.col("conv_id").alias("n_id"), F.col("start").alias("n_start")).agg(
+        F.sum("tokens").alias("n_tokens")
+    )
+    is_next = F.col("conv_id").eqNullSafe(F.col("n_id")) & (F.col("following") == F.col("n_start"))
+    turns = turns.join(next_window, is_next, "left")
+    spare = F.lit(budget) - F.coalesce("system.tokens", F.lit(0)) - F.col("n_tokens")
+    room = F.least(F.lit(history), spare)
 
     def copy(start: Column, pos: Column, text: Column, role: Column, tokens: Column, new: bool):
         return F.struct(
@@ -132,7 +141,7 @@ def format_windows(
     here = [F.col("pos"), F.col("text"), F.col("role"), F.col("tokens")]
     is_system = F.col("system").isNotNull() & (F.col("pos") == 0)
     remembered = (
-        (F.col("rest") <= history) & (F.col("following") < F.col("n")) & ~is_system
+        F.coalesce(F.col("rest") <= room, F.lit(False)) & (F.col("following") < F.col("n")) & ~is_system
     )
     retained = F.col("system").isNotNull() & (F.col("pos") == F.col("start")) & (F.col("start") > 0)
     system_turn = [F.lit(0), F.col("system.text"), F.col("system.role"), F.col("system.tokens")]
@@ -293,11 +302,15 @@ with said as (
         sum(tokens) over (partition by conv_id, breaks, before // half, alone
             order by pos rows between current row and unbounded following) as rest
     from summed window w as (partition by conv_id, breaks, before // half, alone)
+), windows as (
+    select conv_id, start as next_start, sum(tokens) as next_tokens from cut group by conv_id, start
 ), copied as (
-    select conv_id, sum(chars
-        + case when rest <= 256 and following < n and not (opens and pos = 0) then chars else 0 end
+    select c.conv_id, sum(chars
+        + case when rest <= least(256, 1024 - case when opens then opening_tokens else 0 end - next_tokens)
+                and following < n and not (opens and pos = 0) then chars else 0 end
         + case when opens and pos = start and start > 0 then opening_chars else 0 end) as formatted_chars
-    from cut group by conv_id
+    from cut c left join windows n on c.conv_id is not distinct from n.conv_id and following = next_start
+    group by c.conv_id
 ), texts as (
     select conv_id, count(*) as n_turns,
         string_agg(role || chr(10) || text || chr(10), '' order by pos) as said,

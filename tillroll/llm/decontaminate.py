@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import accumulated
 from ..sources.scratch import written
 from .common import keep_rows, quoted, row_keys, table
 
@@ -76,17 +77,41 @@ def hit_spans(text: bytes, runs: list[int]) -> list[dict[str, int]]:
     return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in zip(runs[::2], runs[1::2])]
 
 
-def _item_blocks(items: DataFrame, most_words: int) -> Iterator[list[tuple]]:
-    """Items in blocks of a bounded number of words, fetched one after the other."""
-    block, size = [], 0
-    for row in items.toLocalIterator():
-        n = len(words_of(row["text"]))
-        if block and size + n > most_words:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += n
-    yield block
+def _pieces(items: DataFrame, width: int, most_windows: int) -> DataFrame:
+    """(item_id, piece, text, n_words): items cut into pieces of bounded words, written once.
+
+    Neighbouring pieces share ``width`` - 1 words, so every window of ``width`` words lies in
+    one piece; an item of fewer words is one piece.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                windows = max(1, len(words) - width + 1) if words else 0
+                for at in range(0, windows, most_windows):
+                    part = words[at : min(at + most_windows, windows) + width - 1]
+                    row = [[item_id], [at], [b" ".join(part)], [len(part)]]
+                    types = [pa.string(), pa.int64(), pa.binary(), pa.int64()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(row, types)],
+                        names=["item_id", "piece", "text", "n_words"],
+                    )
+
+    ddl = "item_id string, piece bigint, text binary, n_words bigint"
+    return written(items.mapInArrow(cut, ddl), "benchmark-pieces")
+
+
+def _item_blocks(pieces: DataFrame, most_words: int) -> Iterator[list[tuple]]:
+    """Pieces in blocks of a bounded number of words, numbered on Spark, fetched one after the other."""
+    order = [F.asc_nulls_last("item_id"), F.col("piece"), F.xxhash64("text"), F.col("text")]
+    summed = accumulated(pieces, "n_words", "words", "all_words", order)
+    numbered = summed.withColumn("block", F.expr(f"(words - n_words) div {most_words}"))
+    numbered = written(numbered.select("item_id", "text", "block"), "benchmark-blocks")
+    last = numbered.agg(F.max("block")).first()[0]
+    for block in range(0 if last is None else last + 1):
+        rows = numbered.filter(F.col("block") == block).collect()
+        yield [(r["item_id"], r["text"]) for r in rows]
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -144,7 +169,8 @@ def scan_documents(
     the sorted ids of items with an occurrence, ``spans`` the runs of hit words as code
     point ranges of the original text. The text is read once per automaton, and there
     is one automaton unless the items have over ``most_words`` words together: then they
-    are taken in blocks of that size, one scan after the other over a written table.
+    are taken in blocks of that size, one scan after the other over a written table. An item of
+    any length is cut into pieces that share ``width`` - 1 words, so a block has a bounded size.
 
     A NULL or empty text has no words. An item with a NULL text has no windows; one with
     a NULL id marks words but is not listed. Repeated documents give repeated rows,
@@ -163,8 +189,8 @@ def scan_documents(
         F.array().cast("array<string>").alias("items"),
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
     )
-    blocks = _item_blocks(items, most_words)
-    block, later = next(blocks), next(blocks, None)
+    blocks = _item_blocks(_pieces(items, width, max(1, most_words // 4)), most_words)
+    block, later = next(blocks, []), next(blocks, None)
     while later is not None:
         rows = written(_scanned(rows, block, width, last=False), "scanned")
         block, later = later, next(blocks, None)

@@ -265,10 +265,12 @@ def _crowd_counts(crowd: DataFrame, threshold: float) -> DataFrame:
         for rows, cuts in whole_groups(batches, keys):
             nodes, n = rows.column("node").to_numpy(), rows.column("n").to_numpy()
             side, p, q = (rows.column(c).to_numpy() for c in ("side", "p", "q"))
-            values = rows.column("u").combine_chunks().flatten().to_numpy().reshape(len(nodes), -1)
+            vectors = rows.column("u").combine_chunks()
             links = np.zeros(len(nodes), np.int64)
             for a, b in zip(cuts[:-1], cuts[1:]):
-                near = values[a:b] @ values[a:b].T >= threshold
+                # Vectors of one component are of one length, those of a batch need not be.
+                values = vectors.slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
+                near = values @ values.T >= threshold
                 if p[a] != q[a]:
                     near &= side[a:b, None] != side[None, a:b]
                 near &= nodes[a:b, None] != nodes[None, a:b]

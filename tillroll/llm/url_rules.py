@@ -17,7 +17,7 @@ from .common import LOWER, PARTITION_BITS, ROW, UPPER, quoted, table, with_row_i
 
 _STACK = "array<struct<host:string,path:string,verdict:string>>"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_AFTER_ALL = "\U0010ffff"  # sorts behind every continuation of a key
+_AFTER_ALL = bytearray(b"\xff")  # in no UTF-8 text, so it sorts behind every continuation of a key
 
 # The rules of the registered query.
 RULES = [
@@ -39,9 +39,9 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2)
 
 
-def _key(host: Column, path: Column) -> Column:
-    labels = F.reverse(F.split(host, r"\."))
-    return F.concat(F.array_join(labels, "."), F.lit("\0"), path)
+def _key(labels: Column, path: Column) -> Column:
+    """Bytes to sort by: the labels of a host, last one first, and a path."""
+    return F.concat(F.array_join(F.reverse(labels), "."), F.lit("\0"), path).cast("binary")
 
 
 def _stacks(rules: DataFrame) -> DataFrame:
@@ -107,13 +107,13 @@ def judge(
         rows.filter("host <> ''")
         .select(ROW, F.explode(ancestors).alias("labels"), F.substring("path", 1, longest or 0).alias("p"))
         .select(
-            F.concat(F.array_join(F.reverse("labels"), "."), F.lit("\0"), "p").alias("key"),
+            _key(F.col("labels"), F.col("p")).alias("key"),
             F.lit(1).alias("kind"),
             F.col(ROW),
             F.lit(None).cast(_STACK).alias("stack"),
         )
     )
-    stacks = _stacks(rules).withColumn("key", _key(F.col("host"), F.col("path")))
+    stacks = _stacks(rules).withColumn("key", _key(F.split("host", r"\."), F.col("path")))
     none = F.lit(None).cast("bigint").alias(ROW)
     opens = stacks.select("key", F.lit(0).alias("kind"), none, "stack")
     closes = stacks.select(
