@@ -8,6 +8,7 @@ import pytest
 from tillroll.operators import cleaning as c
 from tillroll.operators.quality import range_check
 from tillroll.schemas import CLEAN_LINE
+from tillroll.sources import raw_csv
 
 HEADER = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity"]
 LINE = ["o1", "1/2/2024", "p1", "10", "1"]
@@ -266,3 +267,33 @@ def test_number_with_suffix_and_white_space(spark):
     rows = [("12d\t", 1), ("12f\n", 2), ("12\t", 3)]
     parsed = c.parse_numbers(export(spark, rows, ["sales", "n"])).orderBy("n").collect()
     assert [r["sales"] for r in parsed] == [None, None, 12.0]
+
+
+def test_rejects_name_their_reason_and_file(spark, tmp_path):
+    head = "Order ID,Order Date,Product ID,Sales,Quantity,City\n"
+    (tmp_path / "a.csv").write_text(head + "o1,1/1/2024,p,1,1,x\no1,1/1/2024,p,1,1,x\nN/A,never,p,1,1,y\n")
+    (tmp_path / "b.csv").write_text(head + "o2,1/1/2024,p,99999999999,1,x\no3,1/1/2024,p,1,3e9,z,surplus\n,,,,,\n")
+    for multiline in (False, True):
+        raw = raw_csv.read_raw(spark, str(tmp_path), multiline, origin=True)
+        distinct = c.distinct_lines(raw)
+        rows = c.rejected(distinct).collect()
+        got = sorted((r["reason"], r["detail"] or "", r["rows"], r["file"][-5:]) for r in rows)
+        assert got == [
+            ("duplicate", "", 1, "a.csv"),
+            ("incomplete", "order_id,order_date", 1, "a.csv"),
+            ("incomplete", "order_id,order_date,product_id,sales,quantity", 1, "b.csv"),
+            ("incomplete", "quantity (range)", 1, "b.csv"),
+            ("incomplete", "sales (range)", 1, "b.csv"),
+        ]
+        counts = c.audited(distinct).first()
+        assert (counts["exact_duplicates"], counts["incomplete_rows"], counts["rows_out"]) == (1, 4, 1)
+        lines = c.finished(distinct)
+        assert lines.count() == 1 and not {"_origin", "#file", "_malformed"} & set(lines.columns)
+
+
+def test_rejects_without_origins_and_of_an_empty_export(spark):
+    schema = "`Order ID` string, `Order Date` string, `Product ID` string, Sales string, Quantity string"
+    raw = spark.createDataFrame([("o", None, "p", "1", "1")], schema)
+    row = c.rejected(c.distinct_lines(raw)).first()
+    assert (row["reason"], row["detail"], row["file"], row["order_id"]) == ("incomplete", "order_date", None, "o")
+    assert c.rejected(c.distinct_lines(raw.limit(0))).count() == 0

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.ranking import accumulated, numbered, tiled
+from tillroll.operators import ranking
+from tillroll.operators.ranking import accumulated, numbered, tiled, tiled_by_value
 
 
 def _values(kind: str, n: int):
@@ -91,3 +92,27 @@ def test_single_task_step_sees_segment_counts_only(spark, ranked):
     assert len(at) == 1
     assert "HashAggregate(keys=[_segment" in plan[at[0] + 1]
     assert "Python" not in "".join(plan)
+
+
+@pytest.mark.parametrize("kind", ["unique", "tied", "constant", "nulls"])
+@pytest.mark.parametrize("n", [0, 3, 11, 1000])
+def test_tiles_by_value_equal_plain_windows(spark, kind, n):
+    df = _frame(spark, kind, n)
+    want = df.select("id", F.ntile(10).over(Window.orderBy(*_order()))).collect()
+    got = tiled_by_value(df, "t", 10, "v", ["id"])
+    assert got.columns == ["id", "v", "t"]
+    assert {r["id"]: r["t"] for r in got.collect()} == {r[0]: r[1] for r in want}
+
+
+def test_tiles_by_value_sort_only_rows_near_edges(spark, monkeypatch):
+    sizes = []
+    real = ranking._segmented
+
+    def counted(df, order, label):
+        sizes.append(df.count())
+        return real(df, order, label)
+
+    monkeypatch.setattr(ranking, "_segmented", counted)
+    df = _frame(spark, "unique", 4000)
+    assert tiled_by_value(df, "t", 10, "v", ["id"]).groupBy("t").count().filter("count <> 400").isEmpty()
+    assert len(sizes) == 1 and 0 < sizes[0] < 4000 * 0.12

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.parse import parsed_date
 from .operators import append, cleaning, quality, star
-from .plans import analysis, dashboard, measures, report, views
+from .plans import analysis, dashboard, measures, report, summary, views
 from .schemas import DATE_FORMATS, LOCATION_COLUMNS, Star
 from .sources import tables
 from .sources.mapped import mapped_star, raw_export
@@ -200,6 +200,21 @@ def _appended_order_customers(raw: DataFrame) -> DataFrame:
     return whole.lines.select("order_id", "customer_id").distinct()
 
 
+def _merged_summary(raw: DataFrame) -> DataFrame:
+    """The monthly summary as the sum of what each of two batches holds; exact columns."""
+    first, batch = _two_batches(raw)
+    addition = append.continued(first, batch)
+    parts = [summary.partial_summary(first), summary.added_summary(first, addition)]
+    whole = summary.merged(*(written(part, "partial-summary") for part in parts))
+    return summary.shown(whole).drop("approx_orders")
+
+
+def _rejects(raw: DataFrame) -> DataFrame:
+    """Rows that cleaning leaves out, by reason."""
+    left_out = cleaning.rejected(cleaning.distinct_lines(raw))
+    return left_out.groupBy("reason", "detail").agg(F.sum("rows").alias("rows"))
+
+
 # A reader's choice on the report page.
 EXAMPLE_SLICERS = {
     "regions": ["ASIA", "EUROPE"],
@@ -221,6 +236,7 @@ QUERIES: dict[str, Query] = {
     "clean_customer_key": _over_export(_customer_key),
     "clean_order_line_id": _over_export(_order_line_id),
     "clean_audit": _over_export(cleaning.cleaning_audit),
+    "clean_rejects": _over_export(_rejects),
     # star
     "dim_customer": _over_export(lambda raw: star.customer_dimension(cleaning.clean(raw))),
     "dim_product": _over_export(lambda raw: star.product_dimension(cleaning.clean(raw))),
@@ -250,6 +266,7 @@ QUERIES: dict[str, Query] = {
     # views
     "order_lines_enriched": _over_export(lambda raw: views.enriched(_cleaned_star(raw))),
     "monthly_sales_summary": _over_star(views.monthly_summary),
+    "monthly_summary_merged": _over_export(_merged_summary),
     # analysis
     "regional_running_sales": _over_star(analysis.regional_running_sales),
     "top_products_by_category": _over_star(analysis.top_products_by_category),

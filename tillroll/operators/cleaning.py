@@ -34,11 +34,13 @@ ALL_TOKENS = sorted({*MISSING_TOKENS, *READER_NA_TOKENS})
 
 # Marks a row with too many or too few fields; set by the CSV reader, counted by the audit.
 MALFORMED = "_malformed"
+# Names the file that a row comes from; set by the CSV reader on request, shown by the rejects.
+ORIGIN = "_origin"
 
 
 def standard_names(df: DataFrame, aliases: Mapping[str, str] = COLUMN_ALIASES) -> DataFrame:
     """Canonical column names. Unknown columns are kept under their tidied name."""
-    names = [c if c == MALFORMED else canonical_name(c, dict(aliases)) for c in df.columns]
+    names = [c if c in (MALFORMED, ORIGIN) else canonical_name(c, dict(aliases)) for c in df.columns]
     clashes = sorted(n for n, times in Counter(names).items() if times > 1)
     if clashes:
         raise ValueError(f"several raw columns map onto {clashes}: {df.columns}")
@@ -115,7 +117,7 @@ def derive_profit(df: DataFrame) -> DataFrame:
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
     """One row for each set of rows that agree in every column, NULL equal to NULL."""
-    return df.drop(MALFORMED).dropDuplicates()
+    return df.drop(MALFORMED, ORIGIN).dropDuplicates()
 
 
 def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -213,7 +215,7 @@ def _cell_rules(
             return lambda cell: parsed_number(raw(cell))
         return text
 
-    return {c: rule(c) for c in columns if c != MALFORMED}
+    return {c: rule(c) for c in columns if c not in (MALFORMED, ORIGIN)}
 
 
 def read_cells(
@@ -257,7 +259,7 @@ def parsed(
 
 
 # No header can become such a name.
-_COPIES, _MALFORMED_COPIES = "#copies", "#malformed"
+_COPIES, _MALFORMED_COPIES, _FILE = "#copies", "#malformed", "#file"
 
 
 def distinct_lines(
@@ -273,9 +275,12 @@ def distinct_lines(
     lines = read_cells(standard_names(raw, aliases), **cell_options)
     _measured(lines, "fraction")
     malformed = F.col(MALFORMED) if MALFORMED in lines.columns else F.lit(False)
-    folded = lines.withColumn(MALFORMED, malformed)
-    folded = folded.groupBy(*(f"`{c}`" for c in lines.columns if c != MALFORMED)).agg(
-        F.count("*").alias(_COPIES), F.count_if(F.col(MALFORMED)).alias(_MALFORMED_COPIES)
+    origin = F.col(ORIGIN) if ORIGIN in lines.columns else F.lit(None).cast("string")
+    folded = lines.withColumns({MALFORMED: malformed, ORIGIN: origin})
+    folded = folded.groupBy(*(f"`{c}`" for c in lines.columns if c not in (MALFORMED, ORIGIN))).agg(
+        F.count("*").alias(_COPIES),
+        F.count_if(F.col(MALFORMED)).alias(_MALFORMED_COPIES),
+        F.min(ORIGIN).alias(_FILE),
     )
     return written(folded, "distinct-lines")
 
@@ -293,7 +298,7 @@ def finished(distinct: DataFrame, scale: str = "auto") -> DataFrame:
     """
     keyed = "customer_id" in distinct.columns
     named = "customer_name" in distinct.columns
-    lines = _declared(distinct, scale).drop(_COPIES, _MALFORMED_COPIES)
+    lines = _declared(distinct, scale).drop(_COPIES, _MALFORMED_COPIES, _FILE)
     lines = lines.transform(drop_incomplete).transform(number_lines)
     if keyed:
         return lines
@@ -322,6 +327,38 @@ def audited(distinct: DataFrame, scale: str = "auto") -> DataFrame:
     )
 
 
+def rejected(distinct: DataFrame, scale: str = "auto") -> DataFrame:
+    """What ``finished`` leaves out of ``distinct_lines``, with its reason and the file it came from.
+
+    reason, detail, rows, file, then the row as it was read. ``duplicate`` counts the further copies
+    of a row; ``incomplete`` names in ``detail`` the required columns without a value, with ``(range)``
+    behind those whose value does not fit. Rows by reason add up to the counts of ``audited``. A row
+    that several files hold names the first of them; without origins ``file`` is NULL.
+    """
+    measured = _measured(distinct, scale)
+    kinds = {f.name: f.dataType for f in CLEAN_LINE}
+    parts = []
+    for c in REQUIRED_COLUMNS:
+        fits = typed(F.col(c), kinds[c]).isNotNull()
+        parts.append(F.when(F.col(c).isNull(), c).when(~fits, f"{c} (range)"))
+    gaps = F.array_compact(F.array(*parts))
+
+    def entry(reason: str, detail: Column, rows: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), detail.alias("detail"), rows.alias("rows"))
+
+    copies = F.when(
+        F.col(_COPIES) > 1, entry("duplicate", F.lit(None).cast("string"), F.col(_COPIES) - 1)
+    )
+    incomplete = F.when(
+        F.size(gaps) > 0, entry("incomplete", F.array_join(gaps, ","), F.lit(1).cast("bigint"))
+    )
+    left_out = F.explode(F.array_compact(F.array(copies, incomplete))).alias("_why")
+    shown = [c for c in distinct.columns if c not in (_COPIES, _MALFORMED_COPIES, _FILE)]
+    return measured.select(left_out, F.col(f"`{_FILE}`").alias("file"), *(f"`{c}`" for c in shown)).select(
+        "_why.*", "file", *(f"`{c}`" for c in shown)
+    )
+
+
 def clean(raw: DataFrame, scale: str = "auto", **options) -> DataFrame:
     """``finished`` lines of a raw export."""
     return finished(distinct_lines(raw, **options), scale)

@@ -84,19 +84,67 @@ def numbered(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     return rows.select(*df.columns, (_rank() + 1).alias(name))
 
 
-def tiled(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) -> DataFrame:
-    """Same tile per row as ``ntile(tiles) over (order by ...)``. Writes one intermediate table.
-
-    With n rows the first ``n % tiles`` tiles hold one row more than the others.
-    """
-    rank, n = _rank(), F.col(_ROWS)
+def _tile(rank: Column, n: Column, tiles: int) -> Column:
+    """Tile of the row at ``rank`` (from 0) of ``n`` rows: the first ``n % tiles`` tiles have one more."""
     small, larger = _quotient(n, F.lit(tiles)), n % tiles
     in_larger = larger * (small + 1)
     tile = F.when(rank < in_larger, _quotient(rank, small + 1)).otherwise(
         larger + _quotient(rank - in_larger, small)
     )
+    return (tile + 1).cast("int")
+
+
+def tiled(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) -> DataFrame:
+    """Same tile per row as ``ntile(tiles) over (order by ...)``. Writes one intermediate table.
+
+    Sorts all rows; ``tiled_by_value`` sorts few of them.
+    """
     rows = _with_counts(_segmented(df, order, "tiled"))
-    return rows.select(*df.columns, (tile + 1).cast("int").alias(name))
+    return rows.select(*df.columns, _tile(_rank(), F.col(_ROWS), tiles).alias(name))
+
+
+def tiled_by_value(
+    df: DataFrame, name: str, tiles: int, value: str, ties: Sequence[str], per_tile: int = 16
+) -> DataFrame:
+    """Tiles of rows by falling ``value`` and rising ``ties``, NULL last, without sorting all rows.
+
+    A quantile sketch cuts the values into about ``per_tile`` buckets per tile. Rows per
+    bucket tell between which ranks it lies: most buckets are inside one tile. Only the rows
+    of a bucket that holds the edge between two tiles are sorted, over all partitions and by all
+    columns, so that a value which many rows share is no hot spot. The tiles are those of
+    ``ntile``, however good the sketch. ``ties`` must tell rows with equal values apart.
+    """
+    rows = written(df, "tile-rows")
+    wanted = tiles * per_tile
+    shares = [i / wanted for i in range(1, wanted)]
+    sketched = rows.agg(F.approx_percentile(value, shares, 100 * wanted).alias("bounds")).first()
+    bounds = sorted({b for b in sketched["bounds"] or []})
+    # A higher value lies above more bounds; buckets are numbered from the highest value on.
+    above = sum((F.col(value) >= F.lit(b)).cast("int") for b in bounds) if bounds else F.lit(0)
+    bucket = F.coalesce(F.lit(len(bounds)) - above, F.lit(len(bounds) + 1))
+    placed = rows.withColumn("_bucket", bucket)
+
+    everything, earlier = Window.partitionBy(), Window.orderBy("_bucket")
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    first, last = F.col("_first"), F.col("_first") + F.col("_n") - 1
+    total = F.col("_total")
+    buckets = (
+        placed.groupBy("_bucket")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_total", F.sum("_n").over(everything))
+        .withColumn("_low", _tile(first, total, tiles))
+        .withColumn("_edge", F.col("_low") != _tile(last, total, tiles))
+    )
+    sorted_before = F.coalesce(F.sum(F.when(F.col("_edge"), F.col("_n"))).over(before), F.lit(0))
+    # One row per bucket, at most tiles * per_tile + 1 of them, hence safe to broadcast.
+    buckets = written(buckets.withColumn("_sorted", sorted_before), "tile-buckets")
+    known = placed.join(F.broadcast(buckets), "_bucket")
+    inside = known.filter(~F.col("_edge")).select(*df.columns, F.col("_low").alias(name))
+    order = [F.col("_bucket"), F.desc_nulls_last(value), *(F.asc_nulls_last(c) for c in ties)]
+    edges = _with_counts(_segmented(known.filter("_edge"), order, "tile-edges"))
+    rank = _rank() - F.col("_sorted") + F.col("_first")
+    return inside.unionByName(edges.select(*df.columns, _tile(rank, total, tiles).alias(name)))
 
 
 def accumulated(

@@ -604,6 +604,27 @@ _OVER_EXPORT = {
          (select count(*) from unique_lines) - (select count(*) from complete_lines)
              as incomplete_rows,
          (select count(*) from complete_lines) as rows_out""",
+    "clean_rejects": _PARSED
+    + """select 'duplicate' as reason, cast(null as varchar) as detail,
+              (select count(*) from export) - (select count(*) from unique_lines) as rows
+         union all
+         select 'incomplete', concat_ws(',',
+                    case when order_id is null then 'order_id' end,
+                    case when order_date is null then 'order_date' end,
+                    case when product_id is null then 'product_id' end,
+                    case when sales is null then 'sales' end,
+                    case when quantity is null then 'quantity' end) as detail, count(*)
+         from unique_lines
+         where order_id is null or order_date is null or product_id is null
+               or sales is null or quantity is null
+         group by detail""",
+    "monthly_summary_merged": _STAR
+    + f"""select {_MONTH} as order_month, region, category,
+                cast(sum(quantity) as bigint) as units_sold, {_MONEY},
+                {_half_up('sum(discount)', 4, 'count(discount)', 0, 4)} as avg_discount
+         from fact join dim_customer using (customer_id) join dim_product using (product_id)
+              join dim_location using (location_id)
+         group by 1, 2, 3""",
     "dim_customer": _STAR + "select * from dim_customer",
     "dim_product": _STAR + "select * from dim_product",
     "dim_location": _STAR + "select * from dim_location",

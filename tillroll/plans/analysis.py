@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import report_band
 from ..functions.ratios import mean, percent
-from ..operators.ranking import tiled
+from ..operators.ranking import tiled_by_value
 from ..schemas import TOTAL, Star
 from .views import order_lines, order_month
 
@@ -107,8 +107,7 @@ def customer_sales(star: Star) -> DataFrame:
 
 def with_spend_decile(totals: DataFrame) -> DataFrame:
     """Tenth of the customers by lifetime sales, 1 highest; the id breaks ties."""
-    order = [F.desc_nulls_last("lifetime_sales"), F.asc_nulls_last("customer_id")]
-    return tiled(totals, "spend_decile", 10, order)
+    return tiled_by_value(totals, "spend_decile", 10, "lifetime_sales", ["customer_id"])
 
 
 def customer_deciles(star: Star) -> DataFrame:

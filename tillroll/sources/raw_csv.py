@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.cleaning import MALFORMED
+from ..operators.cleaning import MALFORMED, ORIGIN
 from .scratch import written
 
 
@@ -31,7 +31,9 @@ def find_input(spark: SparkSession, folder: str, explicit: str | None = None) ->
     return path
 
 
-def read_raw(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str | list[str], multiline: bool, origin: bool = False
+) -> DataFrame:
     """Export with every column as text, under the headers of the file.
 
     Quoted fields may hold commas, doubled quotes and line breaks. A row with
@@ -39,7 +41,8 @@ def read_raw(spark: SparkSession, path: str | list[str], multiline: bool) -> Dat
     ``_malformed``. All files of one read must share their header.
 
     ``multiline`` says whether quoted fields may hold line breaks. Large files are split
-    over tasks either way; with line breaks they are read twice, see ``records``.
+    over tasks either way; with line breaks they are read twice, see ``records``. With
+    ``origin`` each row names its file in ``_origin``, for ``cleaning.rejected``.
     """
     reader = spark.read.options(**_DIALECT, multiLine=multiline)
     header = reader.csv(path, header=False).first()
@@ -58,16 +61,18 @@ def read_raw(spark: SparkSession, path: str | list[str], multiline: bool) -> Dat
         # A header is a record like any other to the parser; one that differs ends the read.
         fields = ["" if name is None else name for name in header]
         parsed = F.from_csv("record", _ddl(schema), options)
-        row = found.select(parsed.alias("row"), "first")
+        row = found.select(parsed.alias("row"), "first", F.col("file").alias(ORIGIN))
         same = F.lit(True)
         for name, field in zip(names, fields):
             same = same & F.coalesce(F.col("row")[name], F.lit("")).eqNullSafe(F.lit(field))
         same = same & F.col("row")[corrupt].isNull()
         other = F.raise_error(F.lit(f"a file of {path} has another header than {fields}"))
         shown = F.when(~F.col("first"), True).when(same, False).otherwise(other.cast("boolean"))
-        return row.filter(shown).select("row.*").select(*(F.col(f"`{n}`") for n in names), marked)
+        own = [ORIGIN] if origin else []
+        return row.filter(shown).select("row.*", *own).select(*(F.col(f"`{n}`") for n in names), marked, *own)
     rows = reader.options(header=True, enforceSchema=False, columnNameOfCorruptRecord=corrupt)
-    return rows.schema(schema).csv(path).select(*(F.col(f"`{n}`") for n in names), marked)
+    own = [F.col("_metadata.file_path").alias(ORIGIN)] if origin else []
+    return rows.schema(schema).csv(path).select(*(F.col(f"`{n}`") for n in names), marked, *own)
 
 
 def _ddl(schema: StructType) -> str:
@@ -181,7 +186,7 @@ def _cut(lines: DataFrame, fragments: bool) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(record, first): the records of CSV files with line breaks in quotes, from splittable scans.
+    """(file, record, first): the records of CSV files with line breaks in quotes, from splittable scans.
 
     ``first`` marks the first record of a file. One scan finds whether each split starts
     inside a quoted field; the other cuts splits into records. Only what a split leaves
@@ -218,9 +223,10 @@ def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         numbered.groupBy("file", "_record")
         .agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
         .select(
+            "file",
             F.array_join("_pieces.record", "\n").alias("record"),
             F.element_at("_pieces.first", 1).alias("first"),
         )
     )
-    found = whole.select("record", "first").unionByName(joined)
+    found = whole.select("file", "record", "first").unionByName(joined)
     return found.withColumn("record", F.regexp_replace("record", r"\r\z", "")).filter("record <> ''")
