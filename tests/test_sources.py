@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,10 +191,10 @@ def test_a_batch_can_be_repeated_and_resumed(spark, tmp_path, monkeypatch, fmt):
 
     real = tables._laid_out
 
-    def failing(name, table):
+    def failing(name, table, layout):
         if name == "fact_order_lines":
             raise RuntimeError("lost")
-        return real(name, table)
+        return real(name, table, layout)
 
     monkeypatch.setattr(tables, "_laid_out", failing)
     with pytest.raises(RuntimeError):
@@ -289,3 +290,44 @@ def test_a_quote_that_is_never_closed(spark, tmp_path, small_splits):
 def test_state_of_quotes_after_a_line(line, out, inside):
     assert raw_csv.open_after(line, False) is out
     assert raw_csv.open_after(line, True) is inside
+
+
+def test_a_filter_on_each_clustered_column_reads_few_files(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [
+        line(i, product=f"p{rng.randrange(200):03d}", location=rng.choice([1] * 20 + list(range(40))),
+             day=dt.date(2024, 1, 1) + dt.timedelta(rng.randrange(300)))
+        for i in range(6000)
+    ]
+    star = small_star(spark, rows)
+    path = str(tmp_path / "star")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_star(star, path, layout="filters")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = tables.read_star(spark, path).lines
+    assert stored.exceptAll(star.lines).isEmpty() and stored.count() == 6000
+    files = [pq.read_metadata(f) for f in Path(path, "fact_order_lines").glob("*.parquet")]
+    assert len(files) > 20
+
+    def share(column, value):
+        """Of all files those whose noted range holds the value."""
+        found = 0
+        for meta in files:
+            groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+            stats = [g.column(i).statistics for g in groups for i in range(g.num_columns)
+                     if g.column(i).path_in_schema == column]
+            found += any(s.min <= value <= s.max for s in stats)
+        return found / len(files)
+
+    assert share("order_date", dt.date(2024, 3, 3)) < 0.6
+    assert share("location_id", 30) < 0.6
+    assert share("product_id", "p070") < 0.6
+    with pytest.raises(ValueError):
+        tables.write_star(star, path, mode="append", layout="filters")
+    with pytest.raises(ValueError):
+        tables.write_star(star, path, layout="other")

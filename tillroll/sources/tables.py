@@ -11,23 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.append import continued
+from ..operators.clustering import clustered
 from ..operators.quality import typed_check
 from ..schemas import PRIMARY_KEYS, TABLES, Star
-from .scratch import delete
+from .scratch import delete, written
 
 # Derived from the order date; folders of this name let date filters skip whole years.
 YEAR = "order_year"
 
 
-def _laid_out(name: str, table: DataFrame) -> DataFrame:
+# What reports filter by, as far as the fact has it: dates, and places, whose ids follow
+# country and region.
+FACT_FILTERS = ["order_date", "location_id", "product_id"]
+
+
+def _laid_out(name: str, table: DataFrame, layout: str = "year") -> DataFrame:
     """Rows clustered for the filters that reports use, so that file statistics can skip.
 
-    Dimensions are sorted by key, the fact by order date. The range boundaries of
-    the fact fall on (date, line), hence one busy day is spread over several
-    files instead of one task.
+    Dimensions are sorted by key. The fact goes by order date, in folders by year; the range
+    boundaries fall on (date, line), hence one busy day is spread over several
+    files instead of one task. With ``layout="filters"`` it is clustered by date, place and product
+    alike, without folders; it should be a written table then, as its columns are sampled.
     """
+    if layout not in ("year", "filters"):
+        raise ValueError(f"unknown layout {layout!r}")
     if name != "fact_order_lines":
         return table.orderBy(F.asc_nulls_last(PRIMARY_KEYS[name]))
+    if layout == "filters":
+        return clustered(table, FACT_FILTERS, PRIMARY_KEYS[name])
     return (
         table.withColumn(YEAR, F.year("order_date"))
         .repartitionByRange("order_date", "order_line_id")
@@ -42,12 +53,14 @@ def _batch_path(folder: str, batch: str) -> str:
     return f"{folder}/_batches/{batch}"
 
 
-def _store(star: Star, folder: str, fmt: str, mode: str) -> None:
+def _store(star: Star, folder: str, fmt: str, mode: str, layout: str) -> None:
     """Tables of a star, each in its own folder, dimensions before the fact."""
     typed_check(star.tables())
     for name, table in star.tables().items():
-        writer = _laid_out(name, table).write
-        if name == "fact_order_lines":
+        if name == "fact_order_lines" and layout == "filters":
+            table = written(table, "fact")
+        writer = _laid_out(name, table, layout).write
+        if name == "fact_order_lines" and layout == "year":
             writer = writer.partitionBy(YEAR)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
@@ -77,12 +90,15 @@ def write_star(
     mode: str = "overwrite",
     made_customers: bool = False,
     batch: str | None = None,
+    layout: str = "year",
 ) -> dict[str, int]:
     """Write one folder per table and return the rows that each then holds.
 
     ``overwrite`` is the full refresh, which ends all batches; ``append`` adds rows whose keys go on
     from the stored ones and whose known dimension rows are left out (see ``continued``,
-    also for ``made_customers``). ``fmt`` is ``parquet`` or ``csv``.
+    also for ``made_customers``). ``fmt`` is ``parquet`` or ``csv``. ``layout="filters"`` clusters
+    the fact by all columns that reports filter by, instead of folders by year; one folder
+    has one layout, so it is for a full refresh or a named batch.
 
     A named ``batch`` can be repeated. Its tables are staged in a folder of their own, and
     a marker is written when all of them are complete; only marked batches are read. A
@@ -96,13 +112,15 @@ def write_star(
     spark = star.lines.sparkSession
     if batch is not None and mode != "append":
         raise ValueError("only an append is a batch")
+    if layout != "year" and mode == "append" and batch is None:
+        raise ValueError("one folder has one layout: name the batch")
     if mode == "overwrite":
         delete(spark, f"{folder}/_batches")
     place = folder if batch is None else _batch_path(folder, batch)
     if batch is None or batch not in _batch_ids(spark, folder):
         if mode == "append":
             star = continued(read_star(spark, folder, fmt), star, made_customers)
-        _store(star, place, fmt, mode if batch is None else "overwrite")
+        _store(star, place, fmt, mode if batch is None else "overwrite", layout)
         if batch is not None:
             counts = {name: t.count() for name, t in _tables(spark, [place], fmt).items()}
             rows = [(batch, name, n) for name, n in counts.items()]
