@@ -202,3 +202,11 @@ def test_chosen_categories_and_matrix(spark):
     matrix = {r[0]: (r["North"], r["South"]) for r in
               measures.region_subcategory_matrix(star, ["North", "South"]).collect()}
     assert matrix == {"Pens": (1, None), "Cups": (-3, None)}
+
+
+def test_year_to_date_on_days_without_sales(spark):
+    star = small_star(spark, [line(1, day=dt.date(2023, 3, 1)), line(2, day=dt.date(2024, 2, 1))])
+    rows = {r["calendar_date"]: r["sales_ytd"] for r in measures.sales_ytd_calendar(star).collect()}
+    assert len(rows) == 365 + 366
+    assert [rows[dt.date(2023, *d)] for d in ((2, 28), (3, 1), (12, 31))] == [None, 10, 10]
+    assert [rows[dt.date(2024, *d)] for d in ((1, 31), (2, 1), (2, 2))] == [None, 10, 10]

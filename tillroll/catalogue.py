@@ -304,6 +304,7 @@ QUERIES: dict[str, Query] = {
         lambda built: measures.totals(measures.sliced(built, **EXAMPLE_SLICERS))
     ),
     "sales_ytd": _over_star(measures.sales_ytd),
+    "sales_ytd_calendar": _over_star(measures.sales_ytd_calendar),
     "calendar": _over_star(measures.calendar),
     "mom_calendar": _over_star(measures.mom_calendar),
     "running_sales_global": _over_star(measures.running_sales_global),

@@ -251,6 +251,21 @@ _OVER_LINES = {
         select cast(unnest(generate_series(make_date(year(a), 1, 1), make_date(year(b), 12, 31),
                                            interval 1 day)) as date) as calendar_date
         from span""",
+    "sales_ytd_calendar": f"""
+        , span as (
+            select min(least(order_date, ship_date)) as a, max(greatest(order_date, ship_date)) as b
+            from lines
+        ),
+        days as (
+            select cast(unnest(generate_series(make_date(year(a), 1, 1), make_date(year(b), 12, 31),
+                                               interval 1 day)) as date) as calendar_date
+            from span
+        ),
+        daily as (select order_date, sum(sales) as s from lines group by 1)
+        select calendar_date, {_total('s', 'total_sales')},
+               {_total('''sum(s) over (partition by year(calendar_date) order by calendar_date
+                          rows between unbounded preceding and current row)''', 'sales_ytd')}
+        from days left join daily on order_date = calendar_date""",
     "mom_calendar": f"""
         , span as (
             select min(least(order_date, ship_date)) as a, max(greatest(order_date, ship_date)) as b

@@ -76,6 +76,25 @@ def calendar(star: Star) -> DataFrame:
     return span.select(F.explode(days).alias("calendar_date"))
 
 
+def sales_ytd_calendar(star: Star) -> DataFrame:
+    """Every day of the calendar with its sales and those since the start of its year.
+
+    A day without sales repeats the running total; before a year's first sale both are NULL.
+    """
+    days = calendar(star).join(
+        sales_ytd(star).select("order_date", "total_sales"),
+        F.col("calendar_date") == F.col("order_date"),
+        "left",
+    )
+    so_far = (
+        Window.partitionBy(F.year("calendar_date"))
+        .orderBy("calendar_date")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = F.sum("total_sales").over(so_far).cast(TOTAL).alias("sales_ytd")
+    return days.select("calendar_date", "total_sales", running).orderBy("calendar_date")
+
+
 def mom_calendar(star: Star) -> DataFrame:
     """Sales per calendar month against the calendar month before.
 
