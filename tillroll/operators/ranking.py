@@ -120,8 +120,8 @@ def tiled_by_value(
     sketched = rows.agg(F.approx_percentile(value, shares, 100 * wanted).alias("bounds")).first()
     bounds = sorted({b for b in sketched["bounds"] or []})
     # A higher value lies above more bounds; buckets are numbered from the highest value on.
-    above = sum((F.col(value) >= F.lit(b)).cast("int") for b in bounds) if bounds else F.lit(0)
-    bucket = F.coalesce(F.lit(len(bounds)) - above, F.lit(len(bounds) + 1))
+    above = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value))) if bounds else F.lit(0)
+    bucket = F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(F.lit(len(bounds)) - above)
     placed = rows.withColumn("_bucket", bucket)
 
     everything, earlier = Window.partitionBy(), Window.orderBy("_bucket")
@@ -137,8 +137,9 @@ def tiled_by_value(
         .withColumn("_edge", F.col("_low") != _tile(last, total, tiles))
     )
     sorted_before = F.coalesce(F.sum(F.when(F.col("_edge"), F.col("_n"))).over(before), F.lit(0))
-    # One row per bucket, at most tiles * per_tile + 1 of them, hence safe to broadcast.
-    buckets = written(buckets.withColumn("_sorted", sorted_before), "tile-buckets")
+    # One row per bucket, at most tiles * per_tile + 1 of them, hence safe to fetch and to broadcast.
+    buckets = buckets.withColumn("_sorted", sorted_before)
+    buckets = rows.sparkSession.createDataFrame(buckets.collect(), buckets.schema)
     known = placed.join(F.broadcast(buckets), "_bucket")
     inside = known.filter(~F.col("_edge")).select(*df.columns, F.col("_low").alias(name))
     order = [F.col("_bucket"), F.desc_nulls_last(value), *(F.asc_nulls_last(c) for c in ties)]
