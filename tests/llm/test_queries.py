@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ import corpus_pipeline
 from tests.comparing import difference, oracle_connection
 from tillroll.llm.catalogue import ORACLE, QUERIES
 from tillroll.llm.common import table
+from tillroll.llm.quality import score
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
@@ -101,6 +104,49 @@ def test_sharding_query_is_even_and_gapless(spark, folder):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     sizes = [len(s) for s in slots.values()]
     assert max(sizes) - min(sizes) <= 1
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, folder, "documents").collect()}
+    for r in rows:
+        text = texts[r["doc_id"]]
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(text) + 8, zlib.crc32(text), "rows")
+        assert r["grown_shard"] is None
+
+
+def test_mixing_query_is_less_than_a_block_from_its_targets(spark, folder):
+    sizes = Counter(r["source"] for r in table(spark, folder, "documents").select("source").collect())
+    rows = QUERIES["op2_source_mixing"](spark, folder).collect()
+    whole = sum(n**0.9 for n in sizes.values())
+    slots = {r["slot"]: r for r in rows}
+    assert sorted(slots) == list(range(len(slots)))
+    done = Counter()
+    for slot in range(len(slots)):
+        r = slots[slot]
+        assert r["release"] <= slot < r["deadline"]
+        done[r["source"]] += 1
+        assert all(abs(done[s] - (slot + 1) * n**0.9 / whole) < 1 + 1e-6 for s, n in sizes.items())
+    # Every document once in the first pass, in full blocks but for the last of a source.
+    ids = [r["doc_id"] for r in table(spark, folder, "documents").select("doc_id").collect()]
+    assert sorted(r["doc_id"] for r in rows if r["epoch"] == 0) == sorted(ids)
+    assert len({(r["slot"], r["place"]) for r in rows}) == len(rows)
+    assert all(len({r["source"] for r in rows if r["slot"] == s}) == 1 for s in slots)
+
+
+def test_near_vector_query_equals_brute_force(spark, folder):
+    rows = sorted(table(spark, folder, "embeddings").collect(), key=lambda r: r["vec_id"])
+    values = [np.array(r["embedding"] or [], np.float64) for r in rows]
+    usable = [k for k, v in enumerate(values) if len(v) and np.isfinite(v).all() and v.any()]
+    pairs = []
+    for k in usable:
+        for other in usable:
+            a, b = values[k], values[other]
+            if k < other and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.95:
+                pairs.append((k, other))
+    least = components_of(len(rows), pairs)
+    links = Counter(x for pair in pairs for x in pair)
+    want = {
+        (r["vec_id"], links[k], rows[least[k]]["vec_id"], least[k] == k) for k, r in enumerate(rows)
+    }
+    got = QUERIES["op3_embedding_dedup"](spark, folder).select("vec_id", "n_links", "component_id", "kept")
+    assert {tuple(r) for r in got.collect()} == want
 
 
 def test_quality_on_labelled_rows(spark):
@@ -112,6 +158,17 @@ def test_quality_on_labelled_rows(spark):
     assert np.mean(right) > 0.95
 
 
+def test_quality_on_held_out_labels(spark):
+    """Fitted to half of the labels by hash, measured on the other half only."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = score(docs, labels.filter("xxhash64(doc_id) % 2 = 0"))
+    keep = {r["k_id"]: r["keep"] for r in scored.collect()}
+    held = labels.filter("xxhash64(doc_id) % 2 != 0").collect()
+    right = [keep[r["doc_id"]] == bool(r["quality"]) for r in held if r["doc_id"] in keep]
+    assert len(right) > 50 and np.mean(right) > 0.9
+
+
 def test_pipeline_keeps_what_its_stages_decide(spark, folder):
     docs = table(spark, folder, "documents")
     result = corpus_pipeline.run(spark, folder)

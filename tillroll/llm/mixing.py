@@ -1,20 +1,23 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-Time is cut into periods of Q slots. At the end of period c every source has had its
-cumulative target w * c * Q rounded down or up; who is rounded up goes by the earliest
-deadline ceil((j + 1) / w), which no later end can contradict. So whatever the length of the
-run, every source is less than one block from its target there, and sources with less
-than one block a period get one in some periods only. Within a period the shares e
-are whole: block j of them is released at slot floor(j*Q/e) and due by ceil((j+1)*Q/e),
-and taking the released block with the earliest deadline in every slot meets all
-deadlines. Between ends of periods a source is thus less than two blocks from its target.
-Periods are planned on the executors, each by itself.
+Block j of a source of weight w is released at slot floor(j/w) and due by ceil((j+1)/w);
+a schedule that keeps all these windows is less than one block from every target in every slot.
+Time is cut into periods that are planned on the executors, each by itself, so the state at
+their ends must follow from the weights alone. At slot T a source has had floor(w*T) blocks, or one
+more. Those with one more must be enough with near deadlines for the period that begins (blocks due
+by b need b slots), and few enough with late releases for the one that ends. Both demands concern
+nested sets, so it is best to go through the deadlines and, whenever they ask for one more
+source, take the one released first. Windows of weights that add up to one can be
+kept (the schedule without periods keeps them), hence such a choice exists, and within the
+period the earliest deadline first meets all windows. Every source has a block due in
+every period, so none that is ahead at one end falls back at the next.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Mapping, Sequence
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -25,56 +28,85 @@ from ..sources.scratch import written
 from .common import ROW, packed, quoted, ranked, table, with_row_ids
 
 PERIOD = 16_384
+LONGEST = 1 << 20  # a period; units below one block in that many slots are raised to it
 MAX_UNITS = 4096  # scheduled side by side; more sources share units
+_SCALE = 1 << 40  # weights are whole numbers of about this sum
 _SEED = 17
 _PLAN = "unit int, number bigint, slot bigint, release bigint, deadline bigint"
 
 
-def whole_shares(weights: list[float], period: int) -> list[int]:
-    """Shares that add up to ``period``, at least one each, by largest remainders.
-
-    For a single period of few sources; ``mix`` follows cumulative targets instead.
-    """
-    total, spare = sum(weights), period - len(weights)
-    exact = [w / total * spare for w in weights]
-    shares = [1 + int(x) for x in exact]
-    by_remainder = sorted(range(len(exact)), key=lambda k: (int(exact[k]) - exact[k], k))
-    for k in by_remainder[: period - sum(shares)]:
-        shares[k] += 1
-    return shares
-
-
-def period_schedule(shares: list[int]) -> list[list[tuple[int, int, int]]]:
-    """Per source, (slot, release, deadline) of each of its blocks in one period."""
-    period = sum(shares)
-    waiting = [(0, k) for k in range(len(shares))]  # release, source
-    ready: list[tuple[int, int]] = []  # deadline, source
-    done: list[list[tuple[int, int, int]]] = [[] for _ in shares]
+def whole_weights(targets: Sequence[float]) -> list[int]:
+    """Targets as whole numbers, none below a ``LONGEST``-th of the sum."""
+    total = fsum(targets)
+    return [max(_SCALE // LONGEST, round(t / total * _SCALE)) for t in targets]
+
+
+def _window(i: np.ndarray, left: np.ndarray, weight: np.ndarray, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """Release and deadline, from the start of a period, of block i after the floor of the target."""
+    return (i * whole - left) // weight, -((left - (i + 1) * whole) // weight)
+
+
+def state(weights: Sequence[int], start: int, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whole part and numerator of the rest of each target at ``start``, and who is one block ahead."""
+    weight, whole = np.array(weights, np.int64), sum(weights)
+    parts = [divmod(w * start, whole) for w in weights]
+    floor, left = (np.array(x, np.int64) for x in zip(*parts, strict=True))
+    ahead = np.zeros(len(weight), np.int64)
+    spare = start - int(floor.sum())
+    if not spare:
+        return floor, left, ahead
+    due = (left + weight * period) // whole  # blocks due within a period
+    source = np.repeat(np.arange(len(weight)), due)
+    block = np.arange(len(source)) - np.repeat(np.cumsum(due) - due, due)
+    _, deadline = _window(block, left[source], weight[source], whole)
+    work = np.cumsum(np.bincount(deadline, minlength=period + 1))[1:period]
+    needed = np.maximum.accumulate(np.maximum(work - np.arange(1, period), 0))
+    rises = np.flatnonzero(np.diff(needed, prepend=0))
+    demands = [(int(b) + 1, int(needed[b])) for b in rises]
+    begun = np.flatnonzero(left)
+    release, deadline = _window(np.zeros_like(begun), left[begun], weight[begun], whole)
+    coming = sorted(zip(deadline.tolist(), release.tolist(), begun.tolist(), strict=True))
+    pool: list[tuple[int, int]] = []  # release, source
+    seen = taken = 0
+    for limit, count in [*demands, (coming[-1][0], spare)]:
+        while seen < len(coming) and coming[seen][0] <= limit:
+            heapq.heappush(pool, coming[seen][1:])
+            seen += 1
+        while taken < count:
+            ahead[heapq.heappop(pool)[1]] = 1
+            taken += 1
+    return floor, left, ahead
+
+
+def period_plan(weights: Sequence[int], number: int, period: int) -> np.ndarray:
+    """Rows (source, number of its block, slot, release, deadline) of one period, by slot."""
+    weight, whole, start = np.array(weights, np.int64), sum(weights), number * period
+    floor, left, ahead = state(weights, start, period)
+    end, _, then = state(weights, start + period, period)
+    share = end + then - floor - ahead
+    source = np.repeat(np.arange(len(weight)), share)
+    first = np.cumsum(share) - share
+    block = np.arange(len(source)) - np.repeat(first, share) + ahead[source]
+    release, deadline = _window(block, left[source], weight[source], whole)
+    opens, closes = np.maximum(release, 0).tolist(), np.minimum(deadline, period).tolist()
+    last = (first + share).tolist()
+    owner = source.tolist()
+    waiting = [(opens[k], k) for k in first[share > 0].tolist()]  # release, row
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int]] = []  # deadline, row
+    order = []
     for slot in range(period):
         while waiting and waiting[0][0] <= slot:
             _, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(len(done[k]) + 1) * period // shares[k]), k))
-        due, k = heapq.heappop(ready)
-        j = len(done[k])
-        done[k].append((slot, j * period // shares[k], due))
-        if j + 1 < shares[k]:
-            heapq.heappush(waiting, ((j + 1) * period // shares[k], k))
-    return done
-
-
-def cumulative_blocks(weights: Sequence[float], period: int, periods: int) -> np.ndarray:
-    """Blocks of each source before each period and after the last, less than one from the target."""
-    share = np.asarray(weights, np.float64) / np.sum(weights)
-    done = np.zeros((periods + 1, len(share)), np.int64)
-    for c in range(1, periods + 1):
-        # A target that is whole up to rounding counts as due right now.
-        least = np.floor(share * (c * period) - 1e-7).astype(np.int64)
-        done[c] = np.maximum(least, done[c - 1])
-        spare = c * period - int(done[c].sum())
-        started = np.flatnonzero(done[c] == least)
-        by_deadline = np.lexsort((started, (done[c][started] + 1) / share[started]))
-        done[c][started[by_deadline[:spare]]] += 1
-    return done
+            heapq.heappush(ready, (closes[k], k))
+        _, k = heapq.heappop(ready)
+        order.append(k)
+        if k + 1 < last[owner[k]]:
+            heapq.heappush(waiting, (opens[k + 1], k + 1))
+    rows = np.stack([source, floor[source] + block, np.zeros_like(source), release + start, deadline + start])
+    rows = rows[:, order]
+    rows[2] = start + np.arange(period)
+    return rows.T
 
 
 def turns(weights: Sequence[float], slots: int) -> list[tuple[int, int]]:
@@ -94,30 +126,20 @@ def turns(weights: Sequence[float], slots: int) -> list[tuple[int, int]]:
     return out
 
 
-def _plan(spark: SparkSession, done: np.ndarray, period: int) -> DataFrame:
+def _plan(spark: SparkSession, weights: Sequence[int], period: int, periods: int) -> DataFrame:
     """Slot, release and deadline of every block of every unit, period by period."""
 
     def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                first, share = (np.frombuffer(row[name], np.int64) for name in ("first", "share"))
-                used = np.flatnonzero(share)
-                schedule = period_schedule(share[used].tolist())
-                places = np.array([x for blocks in schedule for x in blocks], np.int64)
-                places += row["period"] * period
-                number = np.concatenate([first[k] + np.arange(share[k]) for k in used])
-                unit = np.repeat(used, share[used]).astype(np.int32)
+            for number in batch.column(0).to_pylist():
+                unit, *rest = period_plan(weights, number, period).T
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (unit, number, *places.T)],
+                    [pa.array(x) for x in (unit.astype(np.int32), *rest)],
                     names=["unit", "number", "slot", "release", "deadline"],
                 )
 
-    periods = [
-        (c, bytearray(done[c].tobytes()), bytearray((done[c + 1] - done[c]).tobytes()))
-        for c in range(len(done) - 1)
-    ]
-    rows = spark.createDataFrame(periods, "period bigint, first binary, share binary")
-    return written(rows.repartition(max(1, min(len(periods), 1000))).mapInArrow(planned, _PLAN), "mix-plan")
+    numbers = spark.range(0, periods, 1, max(1, min(periods, 1000)))
+    return written(numbers.mapInArrow(planned, _PLAN), "mix-plan")
 
 
 def _shared_plan(small: DataFrame, totals: DataFrame, plan: DataFrame) -> DataFrame:
@@ -167,16 +189,17 @@ def mix(
     error); without it a source of n rows gets n ** ``tempering``. The mixture ends
     with the slot in which the last source has been read once, so no row is dropped;
     sources that the targets favour start over and count their passes in ``epoch``.
-    Until then every source is within two blocks of its share of the slots, and within
-    one at the end of each period of 16,384 slots.
+    Until then every source is less than one block from its share in every slot, and every
+    block lies between its release and its deadline.
 
-    With more than ``max_units`` sources the larger ones are scheduled that way, and the others
-    share units by hash, whose slots are dealt out once more on the executors; such a
-    source is within four blocks of its share, and release and deadline are its unit's.
+    The ``max_units`` largest sources, if they get at least one slot in 2^20, are scheduled that
+    way. Others share units by hash, whose slots are dealt out once more on the executors; such a
+    source is less than two blocks from its share, and release and deadline are its unit's. A unit
+    that asks for less than one slot in 2^20 gets that.
 
     NULL is a source like any other. Repeated rows are separate rows. An empty table
     gives an empty result. Any columns may be present: the row travels as one struct.
-    At most ``max_units`` weights and their counts per period go through the driver;
+    At most one and a half times ``max_units`` weights go through the driver;
     ranks within a source, however hot, are built in small bins.
     """
     spark = docs.sparkSession
@@ -191,17 +214,23 @@ def mix(
     counts = written(
         counts.withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("bigint")), "mix-counts"
     )
-    missing = counts.filter("target is null or not target > 0").select("source").limit(5).collect()
+    usable = "target is not null and target > 0 and target < double('infinity')"
+    missing = counts.filter(f"not ({usable})").select("source").limit(5).collect()
     if missing:
         raise ValueError(f"no positive weight for sources {[r['source'] for r in missing]}")
-    size = counts.agg(F.count("*"), F.sum("n")).first()
-    fits = size[0] <= max_units
-    head = counts.orderBy(F.desc("n"), "source").limit(max_units if fits else max_units // 2).collect()
+    size = counts.agg(F.count("*"), F.sum("n"), F.sum("target"), F.min("target")).first()
+    fits = size[0] <= max_units and (size[3] or 0) * LONGEST >= (size[2] or 0)
+    large = counts.filter(F.col("target") >= (size[2] or 0) / LONGEST)
+    limit = max_units if size[0] <= max_units else max_units // 2
+    head = large.orderBy(F.desc("target"), "source").limit(limit).collect()
     units = [(r["target"], r["blocks"]) for r in head]
     small = None
     if not fits:
         largest = spark.createDataFrame([(r["source"],) for r in head], "l_source string")
-        share = F.pmod(F.xxhash64("source"), F.lit(max_units - len(head))).cast("int")
+        # About one unit for a thousandth of the mixture, as far as there are units.
+        apart = max(0.0, 1 - fsum(target for target, _ in units) / size[2])
+        shared = max(1, min(max_units // 2, round(apart * 1024)))
+        share = F.pmod(F.xxhash64("source"), F.lit(shared)).cast("int")
         small = written(
             counts.join(F.broadcast(largest), F.col("source").eqNullSafe(F.col("l_source")), "left_anti")
             .select("source", "target", "blocks", share.alias("part")),
@@ -215,12 +244,15 @@ def mix(
         units += [(r["target"], r["blocks"]) for r in parts]
         numbers = spark.createDataFrame(numbers, "part int, unit int")
         small = small.join(F.broadcast(numbers), "part").drop("part")
-    whole = sum(target for target, _ in units)
-    slots = max((int(blocks * whole / target * (1 + 1e-12)) + 2 for target, blocks in units), default=0)
-    period = max(1, min(PERIOD, slots))
-    done = cumulative_blocks([t for t, _ in units], period, -(-slots // period)) if units else np.zeros((1, 0), np.int64)
-    plan = _plan(spark, done, period)
-    totals = done[-1].tolist()
+    parts = whole_weights([target for target, _ in units])
+    whole = sum(parts)
+    slots = max((blocks * whole // w + 2 for w, (_, blocks) in zip(parts, units, strict=True)), default=0)
+    longest = max(PERIOD, -(-whole // min(parts))) if parts else 1
+    period = max(1, min(longest, slots))
+    periods = -(-slots // period)
+    plan = _plan(spark, parts, period, periods)
+    floor, _, ahead = state(parts, periods * period, period) if parts else np.zeros((3, 0), np.int64)
+    totals = (floor + ahead).tolist()
     owners = spark.createDataFrame(
         [(r["source"], k, r["blocks"], totals[k]) for k, r in enumerate(head)],
         "p_source string, p_unit int, n_blocks bigint, total bigint",

@@ -87,7 +87,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = _SEED) -> Data
 
 
 def sharded(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """Pipeline stage: documents with their shard and slot."""
+    """Pipeline stage: documents with their shard and slot, which replace input columns of those names in any case."""
     placed = shuffle_into_shards(docs, shards)
     taken = {"shard", "slot"}
     names = [c for c in docs.columns if c.lower() not in taken]
