@@ -130,6 +130,32 @@ def test_catalog_tables(spark):
     assert spark.table("shop.fact_order_lines").count() == 2
 
 
+def test_bucketed_tables_join_customers_without_exchange(spark):
+    """Also after an append; sums by customer as over the plain tables."""
+
+    def joined(database):
+        star = tables.read_tables(spark, database)
+        return star.lines.join(star.customers, "customer_id").groupBy("customer_id").agg(F.sum("sales").alias("s"))
+
+    for database, buckets in (("plain", None), ("parted", 4)):
+        spark.sql(f"create database if not exists {database}")
+        people = [(f"C{k}", f"name {k}", "Home") for k in (0, 1, 2, 9)]
+        first = small_star(spark, [line(k, f"C{k % 3}") for k in range(1, 8)], people[:3])
+        tables.save_tables(first, database, "overwrite", buckets=buckets)
+        more = small_star(spark, [line(9, "C9"), line(10, "C1")], people)
+        tables.save_tables(more, database)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {d: joined(d)._jdf.queryExecution().executedPlan().toString() for d in ("plain", "parted")}
+        assert "Exchange" in plans["plain"] and "Exchange" not in plans["parted"]
+        rows = [sorted(tuple(r) for r in joined(d).collect()) for d in plans]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows[0] == rows[1] and [key for key, _ in rows[0]] == ["C0", "C1", "C2", "C9"]
+    with pytest.raises(ValueError, match="4 buckets"):
+        tables.save_tables(first, "parted", buckets=8)
+
+
 def test_date_filter_skips_years(spark, tmp_path):
     star = small_star(spark, [line(1), line(2, day=dt.date(2023, 5, 1))])
     tables.write_star(star, str(tmp_path / "star"))

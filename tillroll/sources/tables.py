@@ -153,15 +153,39 @@ def read_star(spark: SparkSession, folder: str, fmt: str = "parquet", complete:
     )
 
 
+# The largest dimension: its join is the one worth storing ready.
+BUCKET_KEY = "customer_id"
+BUCKETED = ("dim_customer", "fact_order_lines")
+
+
+def _bucket_count(spark: SparkSession, table: str) -> int | None:
+    """Buckets of a stored table, None if it has none or does not exist."""
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"describe extended {table}").filter("col_name = 'Num Buckets'").first()
+    return int(found["data_type"]) if found else None
+
+
+def read_tables(spark: SparkSession, database: str, complete: bool = False) -> Star:
+    """Star written by ``save_tables``."""
+    return Star(*(spark.table(f"{database}.{name}") for name in TABLES), complete=complete)
+
+
 def save_tables(
     star: Star,
     database: str,
     mode: str = "append",
     made_customers: bool = False,
     batch: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Write the star to catalog tables, dimensions first; ``append`` goes on from stored keys.
 
+    With ``buckets`` the fact and the customers are stored in that many buckets by customer, so that
+    joins and groups by customer need no exchange. A busy customer is written by several
+    tasks, but a bucketed join reads it in one: with such customers leave ``buckets`` out, and
+    adaptive execution can split the join. An append keeps the stored number; another one is an error.
+
     A named ``batch`` can be repeated: ``loaded_batches`` notes the last line before it and, at the end,
     that it is done. Dimensions leave known rows out, so only the fact matters: if lines
     beyond the noted one are there, the one write of the fact was complete. One writer at a time.
@@ -179,6 +203,11 @@ def save_tables(
     if mode == "overwrite" and spark.catalog.tableExists(notes):
         spark.createDataFrame([], note).write.mode("overwrite").saveAsTable(notes)
     exists = spark.catalog.tableExists(fact)
+    if mode == "append" and exists:
+        stored_buckets = _bucket_count(spark, fact)
+        if buckets not in (None, stored_buckets):
+            raise ValueError(f"{fact} is stored in {stored_buckets or 'no'} buckets, not in {buckets}")
+        buckets = stored_buckets
     last = (spark.table(fact).agg(F.max("order_line_id")).first()[0] or 0) if exists else 0
     if batch is not None:
         known = spark.catalog.tableExists(notes)
@@ -191,11 +220,15 @@ def save_tables(
         if not earlier:
             noted(last, False)
     if mode == "append" and exists:
-        stored = (spark.table(f"{database}.{name}") for name in star.tables())
-        star = continued(Star(*stored), star, made_customers)
+        star = continued(read_tables(spark, database), star, made_customers)
     typed_check(star.tables())
     for name, table in star.tables().items():
-        _laid_out(name, table).drop(YEAR).write.mode(mode).saveAsTable(f"{database}.{name}")
+        if buckets and name in BUCKETED:
+            writer = table.hint("rebalance", F.col(BUCKET_KEY)).write
+            writer = writer.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)
+        else:
+            writer = _laid_out(name, table).drop(YEAR).write
+        writer.mode(mode).saveAsTable(f"{database}.{name}")
     if batch is not None:
         noted(last, True)
 
