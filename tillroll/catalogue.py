@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.parse import parsed_date
-from .operators import append, cleaning, quality, star
+from .operators import append, cleaning, quality, skew, star
 from .plans import analysis, dashboard, measures, report, summary, views
 from .schemas import DATE_FORMATS, LOCATION_COLUMNS, Star
 from .sources import tables
@@ -107,6 +107,17 @@ def _customer_key(raw: DataFrame) -> DataFrame:
     return lines.select("order_line_id", "customer_name", "customer_id")
 
 
+def _customer_key_spread(raw: DataFrame) -> DataFrame:
+    """Customer keys where frequent names are joined in pieces."""
+    lines = cleaning.finished(cleaning.distinct_lines(raw.drop("Customer ID")), spread=True)
+    return lines.select("order_line_id", "customer_name", "customer_id")
+
+
+def _enriched_spread(raw: DataFrame) -> DataFrame:
+    """The enriched view where busy places, customers and products are joined in pieces."""
+    return views.enriched(star.build_star(cleaning.clean(raw), spread=True), spread=True)
+
+
 def _order_line_id(raw: DataFrame) -> DataFrame:
     return cleaning.clean(raw).select("order_line_id", *_LINE)
 
@@ -234,6 +245,7 @@ QUERIES: dict[str, Query] = {
     "clean_drop_duplicates": _over_export(_drop_duplicates),
     "clean_drop_incomplete": _over_export(_drop_incomplete),
     "clean_customer_key": _over_export(_customer_key),
+    "clean_customer_key_spread": _over_export(_customer_key_spread),
     "clean_order_line_id": _over_export(_order_line_id),
     "clean_audit": _over_export(cleaning.cleaning_audit),
     "clean_rejects": _over_export(_rejects),
@@ -265,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "appended_top_regions": _over_export(lambda raw: report.top_regions(_appended(raw))),
     # views
     "order_lines_enriched": _over_export(lambda raw: views.enriched(_cleaned_star(raw))),
+    "order_lines_enriched_spread": _over_export(_enriched_spread),
     "monthly_sales_summary": _over_star(views.monthly_summary),
     "monthly_summary_merged": _over_export(_merged_summary),
     # analysis
@@ -279,6 +292,9 @@ QUERIES: dict[str, Query] = {
     "date_span": _over_star(report.date_span),
     "discount_bands": _over_star(report.discount_bands),
     "margin_gap": _over_star(report.margin_gap),
+    "busy_locations": _over_star(
+        lambda built: skew.frequent_values(built.lines, "location_id", 25)
+    ),
     "top_regions": _over_star(report.top_regions),
     "top_losses": _over_star(report.top_losses),
     "top_decile_share": _over_star(report.top_decile_share),

@@ -29,6 +29,7 @@ from ..schemas import (
 )
 from ..sources.scratch import written
 from .ranking import numbered
+from .skew import spread_join
 
 ALL_TOKENS = sorted({*MISSING_TOKENS, *READER_NA_TOKENS})
 
@@ -165,11 +166,12 @@ def number_lines(df: DataFrame) -> DataFrame:
     return numbered(df, "order_line_id", order)
 
 
-def add_customer_key(df: DataFrame) -> DataFrame:
+def add_customer_key(df: DataFrame, spread: bool = False) -> DataFrame:
     """``customer_id`` made from the customer name, or else the order id.
 
     Needs ``order_line_id``: names are numbered from C000000 by the line on which
-    they first appear; lines without a name share ``C-00001``.
+    they first appear; lines without a name share ``C-00001``. With ``spread`` lines of a
+    frequent name find their key in pieces.
     """
     source = "customer_name" if "customer_name" in df.columns else "order_id"
     first = (
@@ -182,9 +184,12 @@ def add_customer_key(df: DataFrame) -> DataFrame:
     )
     others = [c for c in df.columns if c != "customer_id"]
     # Every name has a key; lines without one stay out of the join, where they would be a hot key.
-    named = df.join(keys, F.col(source) == F.col("_name")).select(
-        *others, F.col("_key").alias("customer_id")
-    )
+    if spread:
+        known = df.filter(F.col(source).isNotNull())
+        named = spread_join(known, keys.withColumnRenamed("_name", source), [source], ["order_line_id"])
+    else:
+        named = df.join(keys, F.col(source) == F.col("_name"))
+    named = named.select(*others, F.col("_key").alias("customer_id"))
     unnamed = df.filter(F.col(source).isNull())
     return named.unionByName(unnamed.select(*others, F.lit("C-00001").alias("customer_id")))
 
@@ -290,11 +295,12 @@ def _declared(distinct: DataFrame, scale: str) -> DataFrame:
     return _measured(distinct, scale).transform(apply_types)
 
 
-def finished(distinct: DataFrame, scale: str = "auto") -> DataFrame:
+def finished(distinct: DataFrame, scale: str = "auto", spread: bool = False) -> DataFrame:
     """Cleaned, typed, numbered order lines from ``distinct_lines``.
 
     A line whose required value is missing, or too large for its column, is left out.
-    The numbered lines are written once; dimensions and fact read them back.
+    The numbered lines are written once; dimensions and fact read them back. For ``spread``
+    see ``add_customer_key``.
     """
     keyed = "customer_id" in distinct.columns
     named = "customer_name" in distinct.columns
@@ -303,8 +309,8 @@ def finished(distinct: DataFrame, scale: str = "auto") -> DataFrame:
     if keyed:
         return lines
     if named:
-        return add_customer_key(lines)
-    return add_customer_key(lines.drop("customer_name")).withColumn(
+        return add_customer_key(lines, spread)
+    return add_customer_key(lines.drop("customer_name"), spread).withColumn(
         "customer_name", F.lit(None).cast("string")
     )
 

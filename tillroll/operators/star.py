@@ -17,6 +17,7 @@ from ..schemas import (
     Star,
 )
 from .ranking import numbered
+from .skew import spread_join
 
 
 def _first_seen(lines: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -50,8 +51,16 @@ def location_dimension(lines: DataFrame) -> DataFrame:
     return numbered(places, "location_id", order).select(*DIM_LOCATION.names)
 
 
-def order_line_fact(lines: DataFrame, locations: DataFrame) -> DataFrame:
-    """Lines with the id of their location; a missing city matches a missing city."""
+def order_line_fact(lines: DataFrame, locations: DataFrame, spread: bool = False) -> DataFrame:
+    """Lines with the id of their location; a missing city matches a missing city.
+
+    With ``spread`` lines of a busy place are joined in pieces.
+    """
+    if spread:
+        found = spread_join(
+            lines, locations, LOCATION_COLUMNS, ["order_line_id"], "left", null_safe=True
+        )
+        return found.select(*FACT_ORDER_LINES.names)
     same_place = reduce(
         Column.__and__, (lines[c].eqNullSafe(locations[c]) for c in LOCATION_COLUMNS)
     )
@@ -59,16 +68,17 @@ def order_line_fact(lines: DataFrame, locations: DataFrame) -> DataFrame:
     return joined.select(*FACT_ORDER_LINES.names)
 
 
-def build_star(lines: DataFrame) -> Star:
+def build_star(lines: DataFrame, spread: bool = False) -> Star:
     """Dimensions and fact of cleaned lines.
 
     Every line finds its location by construction. Customer and product keys may
-    be NULL in the input, so the star does not claim to be complete.
+    be NULL in the input, so the star does not claim to be complete. For ``spread`` see
+    ``order_line_fact``.
     """
     locations = location_dimension(lines)
     return Star(
         customers=customer_dimension(lines),
         products=product_dimension(lines),
         locations=locations,
-        lines=order_line_fact(lines, locations),
+        lines=order_line_fact(lines, locations, spread),
     )

@@ -165,6 +165,12 @@ _OVER_LINES = {
             from bands
         )
         select low, high, low - high as difference from gap""",
+    "busy_locations": """
+        select cast(c_nationkey as bigint) as location_id, count(*) as rows
+        from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey
+        group by 1 having 25 * count(*) > (
+            select count(*) from lineitem join orders on o_orderkey = l_orderkey
+            join customer on c_custkey = o_custkey)""",
     "top_regions": f"""
         select region, {_MONEY}, {_pct('sum(profit)', 'sum(sales)')} as margin_pct
         from lines group by 1""",
@@ -612,6 +618,8 @@ _OVER_EXPORT = {
     "clean_drop_incomplete": _PARSED + f"select {_LINE} from complete_lines",
     "clean_customer_key": _NUMBERED.replace(_WITH_CUSTOMER_ID, _WITHOUT_CUSTOMER_ID)
     + _CUSTOMER_KEYS,
+    "clean_customer_key_spread": _NUMBERED.replace(_WITH_CUSTOMER_ID, _WITHOUT_CUSTOMER_ID)
+    + _CUSTOMER_KEYS,
     "clean_order_line_id": _NUMBERED + f"select order_line_id, {_LINE} from lines",
     "clean_audit": _PARSED
     + """select (select count(*) from export) as rows_in, cast(0 as bigint) as malformed_rows,
@@ -722,6 +730,7 @@ priced as (""",
     + f"""select region, {_MONEY}, {_pct('sum(profit)', 'sum(sales)')} as margin_pct
           from lines group by 1""",
     "order_lines_enriched": _STAR + _ENRICHED,
+    "order_lines_enriched_spread": _STAR + _ENRICHED,
     "dashboard_base": _STAR + _DASHBOARD,
 }
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import fraction, mean
+from ..operators.skew import spread_join
 from ..schemas import Star
 
 # Columns of the enriched view, in order.
@@ -23,27 +24,33 @@ def order_month() -> Column:
     return F.date_format("order_date", "yyyy-MM").alias("order_month")
 
 
-def order_lines(star: Star, *columns: str, later: str | None = None) -> DataFrame:
+def order_lines(
+    star: Star, *columns: str, later: str | None = None, spread: bool = False
+) -> DataFrame:
     """Inner star join, narrowed to ``columns``.
 
     A line counts only if customer, product and location exist. A dimension that
     shows no column is reduced to that existence test, and skipped when the star
     is complete. ``later`` names a key whose dimension the caller joins itself
-    after aggregating.
+    after aggregating. With ``spread`` lines of a busy key are joined in pieces, which
+    costs a pass over each joined key; the star should be a stored one then.
     """
     lines = star.lines
     for key, dimension in star.dimensions():
         shown = [c for c in dimension.columns if c in columns and c != key]
-        if shown:
+        if shown and spread:
+            attributes = dimension.select(key, *shown)
+            lines = spread_join(lines, attributes, [key], ["order_line_id"], counted=star.lines)
+        elif shown:
             lines = lines.join(dimension.select(key, *shown), key)
         elif key != later and not star.complete:
             lines = lines.join(dimension.select(key), key, "left_semi")
     return lines.select(*columns)
 
 
-def enriched(star: Star) -> DataFrame:
-    """Every order line with the attributes of its dimensions."""
-    return order_lines(star, *ENRICHED_COLUMNS)
+def enriched(star: Star, spread: bool = False) -> DataFrame:
+    """Every order line with the attributes of its dimensions; for ``spread`` see ``order_lines``."""
+    return order_lines(star, *ENRICHED_COLUMNS, spread=spread)
 
 
 def monthly_summary(star: Star) -> DataFrame:
