@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .functions.parse import parsed_date
 from .operators import append, cleaning, quality, skew, star
-from .plans import analysis, dashboard, measures, report, summary, views
+from .plans import analysis, cube, dashboard, measures, report, summary, views
 from .schemas import DATE_FORMATS, LOCATION_COLUMNS, Star
 from .sources import tables
 from .sources.mapped import mapped_star, raw_export
@@ -233,6 +233,17 @@ EXAMPLE_SLICERS = {
     "dates": (dt.date(1996, 1, 1), dt.date(1998, 12, 31)),
 }
 
+
+def _cube_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cube.cells(views.dashboard_base(mapped_star(spark, folder), *cube.NEEDED))
+
+
+def _cube_visuals(spark: SparkSession, folder: str) -> DataFrame:
+    """All visuals of a reader's choice, among the better half of the customers."""
+    chosen = dashboard.filtered_lines(_cube_cells(spark, folder), **EXAMPLE_SLICERS)
+    return cube.visuals(cube.of_deciles(chosen, range(1, 6)))
+
+
 QUERIES: dict[str, Query] = {
     # cleaning
     "clean_null_tokens": _over_export(_null_tokens),
@@ -314,6 +325,8 @@ QUERIES: dict[str, Query] = {
     "customer_concentration": _over_dashboard(
         dashboard.customer_concentration, "customer_id", "sales"
     ),
+    "cube_cells": _cube_cells,
+    "cube_visuals": _cube_visuals,
     # measures
     "measure_totals": _over_star(measures.totals),
     "measure_totals_sliced": _over_star(

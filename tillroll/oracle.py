@@ -93,6 +93,39 @@ tiles as (
     from customers
 )"""
 
+_CELLS = f"""
+, {_DECILES},
+banded as (
+    select *, case when d <= -0.01 then null when d <= 0 then '0%' when d <= 0.10 then '1-10%'
+                   when d <= 0.20 then '11-20%' when d <= 0.30 then '21-30%'
+                   when d <= 1 then '30%+' end as discount_band
+    from (select *, coalesce(discount, 0) as d from lines)
+),
+cells as (
+    select order_date, region, category, discount_band, cast(t as int) as spend_decile,
+           {_total('sum(sales)', 'sales')}, {_total('sum(profit)', 'profit')},
+           count(*) as order_lines
+    from banded left join tiles using (customer_id) group by 1, 2, 3, 4, 5
+)"""
+
+
+def _visual(name: str, label: str) -> str:
+    return f"""
+        select '{name}' as visual, {label} as label, cast(sum(order_lines) as bigint) as order_lines,
+               {_total('coalesce(sum(sales), 0)', 'sales')},
+               {_total('coalesce(sum(profit), 0)', 'profit')},
+               cast(sum(profit) as double) / nullif(cast(sum(sales) as double), 0) * 100 as margin_pct
+        from chosen group by 1, 2"""
+
+
+_VISUALS = {
+    "month": _MONTH,
+    "region": "region",
+    "category": "category",
+    "discount_band": "discount_band",
+    "spend_decile": "cast(spend_decile as varchar)",
+}
+
 _OVER_LINES = {
     "monthly_sales_summary": f"""
         select {_MONTH} as order_month, region, category, count(distinct order_id) as orders,
@@ -243,6 +276,19 @@ _OVER_LINES = {
         from lines
         where region in ('ASIA', 'EUROPE') and category in ('ECONOMY', 'STANDARD')
               and order_date between date '1996-01-01' and date '1998-12-31'""",
+    "cube_cells": _CELLS + "select * from cells",
+    "cube_visuals": _CELLS
+    + """,
+        chosen as (
+            select * from cells
+            where region in ('ASIA', 'EUROPE') and category in ('ECONOMY', 'STANDARD')
+              and order_date between date '1996-01-01' and date '1998-12-31'
+              and spend_decile <= 5
+        ),
+        series as ("""
+    + " union all ".join(_visual(name, label) for name, label in _VISUALS.items())
+    + ") select * from series where label is not null union all"
+    + _visual("total", "cast(null as varchar)"),
     "sales_ytd": f"""
         , daily as (select order_date, sum(sales) as s from lines group by 1)
         select order_date, {_total('s', 'total_sales')},

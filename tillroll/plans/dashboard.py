@@ -1,6 +1,7 @@
 """Filters, key figures and chart series of the dashboard.
 
-The series take the filtered lines, so that one selection drives all of them.
+The series take the filtered lines, so that one selection drives all of them; those
+that show sums take the cells of ``cube`` just as well.
 Groups with a NULL key are left out and a group without any value sums to 0.
 """
 
@@ -23,7 +24,7 @@ def _nothing() -> Column:
 
 
 def _total(column: str) -> Column:
-    return F.coalesce(F.sum(column), _nothing())
+    return F.coalesce(F.sum(column).cast(TOTAL), _nothing())
 
 
 def _chosen(column: str, values: Collection[str] | None) -> Column:
@@ -128,8 +129,10 @@ def discount_margin(lines: DataFrame, keep_empty: bool = False) -> DataFrame:
     Bands without sales have no margin and are left out, unless ``keep_empty``
     asks for all five.
     """
+    folded = "discount_band" in lines.columns
+    band = F.col("discount_band") if folded else dashboard_band(F.col("discount"))
     sums = (
-        lines.groupBy(dashboard_band(F.col("discount")).alias("discount_band"))
+        lines.groupBy(band.alias("discount_band"))
         .agg(_total("sales").alias("sales"), _total("profit").alias("profit"))
         .filter(F.col("discount_band").isNotNull())
     )
