@@ -1,6 +1,7 @@
 """One small input per cleaning rule."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from tillroll.operators import cleaning as c
 from tillroll.operators.quality import range_check
 from tillroll.schemas import CLEAN_LINE
-from tillroll.sources import raw_csv
+from tillroll.sources import mapped, raw_csv
 
 HEADER = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity"]
 LINE = ["o1", "1/2/2024", "p1", "10", "1"]
@@ -297,3 +298,34 @@ def test_rejects_without_origins_and_of_an_empty_export(spark):
     row = c.rejected(c.distinct_lines(raw)).first()
     assert (row["reason"], row["detail"], row["file"], row["order_id"]) == ("incomplete", "order_date", None, "o")
     assert c.rejected(c.distinct_lines(raw.limit(0))).count() == 0
+
+
+def test_cells_are_read_by_compiled_code_and_copies_folded_without_a_sort(spark, folder, monkeypatch, capsys):
+    folded = []
+    monkeypatch.setattr(c, "written", lambda df, label: folded.append(df) or df)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        c.distinct_lines(mapped.raw_export(spark, folder))
+        folded[0].explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    shown = capsys.readouterr().out
+    # The JVM compiles methods of up to 8,000 bytes; larger ones are interpreted.
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", shown))) <= 8000
+    assert "HashAggregate" in shown and "SortAggregate" not in shown
+
+
+def test_dates_of_formats_with_optional_and_quoted_parts(spark):
+    df = export(spark, [("2024", "1"), ("2024-05-06", "2")], ["order_date", "n"])
+    parsed = c.parse_dates(df, ["yyyy[-MM-dd]"]).orderBy("n").collect()
+    assert [r["order_date"] for r in parsed] == [dt.date(2024, 1, 1), dt.date(2024, 5, 6)]
+    parsed = c.parse_dates(df, ["yyyy-MM-dd", "yyyy"]).orderBy("n").collect()
+    assert [r["order_date"] for r in parsed] == [dt.date(2024, 1, 1), dt.date(2024, 5, 6)]
+
+
+def test_white_space_of_any_kind_is_stripped_at_either_end(spark):
+    cells = ["\u00a0x", "x\u2009", "\u3000\u00e9\u0085", "\u00e9", "\x1fx\x0b", " N/A ", "\u2003unknown\t", "a longer text "]
+    lines = c.read_cells(export(spark, [[v, str(i)] for i, v in enumerate(cells)], ["city", "n"]))
+    got = [r["city"] for r in lines.orderBy("n").collect()]
+    assert got == ["x", "x", "\u00e9", "\u00e9", "x", None, None, "a longer text"]

@@ -20,7 +20,9 @@ def canonical_name(header: str, aliases: dict[str, str]) -> str:
 
 
 def _padded(cell: Column) -> Column:
-    return F.left(cell, F.lit(1)).isin(_SPACES) | F.right(cell, F.lit(1)).isin(_SPACES)
+    """Whether white space may stand at an end: "!" follows the blank, and most cells begin in ASCII."""
+    first = (cell < "!") | ((cell >= "\x7f") & F.left(cell, F.lit(1)).isin(_SPACES))
+    return first | F.right(cell, F.lit(1)).isin(_SPACES)
 
 
 def _bare(cell: Column) -> Column:
@@ -29,16 +31,19 @@ def _bare(cell: Column) -> Column:
 
 def without_tokens(cell: Column, tokens: Iterable[str]) -> Column:
     """NULL where the whole cell is one of the missing-value tokens (case-sensitive)."""
-    return F.when(~cell.isin(list(tokens)), cell)
+    listed = list(tokens)
+    # A length is cheaper than a look into the list.
+    longer = F.octet_length(cell) > max((len(t.encode()) for t in listed), default=0)
+    return F.when(longer | ~cell.isin(listed), cell)
 
 
 def tidied(cell: Column, tokens: Iterable[str]) -> Column:
     """Cell without surrounding white space, NULL where what remains is one of ``tokens``.
 
     Trimming by a character list costs several times a look at both ends, and
-    few cells need it.
+    few cells need it. The stripped cell is one expression used twice, which Spark
+    computes in a function of its own: the code of many columns stays small enough
+    to be compiled.
     """
-    listed = list(tokens)
-    return F.when(_padded(cell), without_tokens(_bare(cell), listed)).otherwise(
-        without_tokens(cell, listed)
-    )
+    bare = F.when(_padded(cell), _bare(cell)).otherwise(cell)
+    return without_tokens(bare, list(tokens))

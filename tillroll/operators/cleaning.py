@@ -280,13 +280,14 @@ def distinct_lines(
     lines = read_cells(standard_names(raw, aliases), **cell_options)
     _measured(lines, "fraction")
     malformed = F.col(MALFORMED) if MALFORMED in lines.columns else F.lit(False)
-    origin = F.col(ORIGIN) if ORIGIN in lines.columns else F.lit(None).cast("string")
-    folded = lines.withColumns({MALFORMED: malformed, ORIGIN: origin})
-    folded = folded.groupBy(*(f"`{c}`" for c in lines.columns if c not in (MALFORMED, ORIGIN))).agg(
-        F.count("*").alias(_COPIES),
-        F.count_if(F.col(MALFORMED)).alias(_MALFORMED_COPIES),
-        F.min(ORIGIN).alias(_FILE),
+    counts = [F.count("*").alias(_COPIES), F.count_if(malformed).alias(_MALFORMED_COPIES)]
+    # The least of some texts is found by sorting whole rows, so only where there are any.
+    named = ORIGIN in lines.columns
+    folded = lines.groupBy(*(f"`{c}`" for c in lines.columns if c not in (MALFORMED, ORIGIN))).agg(
+        *counts, *([F.min(ORIGIN).alias(_FILE)] if named else [])
     )
+    if not named:
+        folded = folded.withColumn(_FILE, F.lit(None).cast("string"))
     return written(folded, "distinct-lines")
 
 
