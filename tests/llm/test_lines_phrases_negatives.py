@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import pytest
 
+from tillroll.llm import collocations as phrases
 from tillroll.llm.collocations import collocations
 from tillroll.llm.hard_negatives import hard_negatives
 from tillroll.llm.lines import keep_bitmaps, kept_lines, without_repeated_lines
@@ -148,6 +149,39 @@ def test_collocations_of_a_text_in_segments(spark):
     assert sorted(map(tuple, got)) == slow_collocations([("en", text)], 10, 3, 100)
 
 
+@pytest.mark.parametrize("min_count", [3, 300])
+def test_rare_phrases_stay_at_home_and_frequent_ones_are_counted_whole(spark, min_count):
+    rng = random.Random(min_count)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(90)) for _ in range(200)) for _ in range(20)]
+    texts += ["a1 b2 c3 d4"] * min_count
+    docs = [(t, lang) for t in texts for lang in ("en", "de")]
+    df = spark.createDataFrame(docs, "text string, lang string").repartition(4)
+    blocks = phrases.occurrence_blocks(df, 2, block_words=500)
+    possible = phrases._possible(blocks, 2, min_count, 16)
+
+    def totals(counted):
+        counts = counted.groupBy("lang", "phrase").sum("n").collect()
+        return {(r[0], r[1]): r[2] for r in counts}
+
+    every, sent = totals(phrases._counts(blocks, 2)), totals(phrases._counts(blocks, 2, possible))
+    assert len(sent) < len(every) / 5
+    frequent = {phrase: n for phrase, n in every.items() if n >= min(min_count, 255)}
+    assert frequent and frequent.items() <= sent.items()
+
+
+@pytest.mark.parametrize("bits", [0, 9])
+def test_collocations_with_and_without_a_sketch(spark, bits, monkeypatch):
+    monkeypatch.setattr(phrases, "_sketch_bits", lambda words: bits)
+    rng = random.Random(bits)
+    docs = [
+        (rng.choice(["en", None]), " ".join(f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(60)))
+        for _ in range(60)
+    ]
+    df = spark.createDataFrame(docs, "lang string, text string")
+    got = collocations(df.repartition(3), 4, 3, top=50, block_words=300).collect()
+    assert sorted(map(tuple, got)) == slow_collocations(docs, 4, 3, 50)
+
+
 def test_collocations_of_an_empty_table(spark):
     assert collocations(spark.createDataFrame([], DOCS)).count() == 0
 

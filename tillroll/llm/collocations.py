@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,6 +22,10 @@ BLOCK_WORDS = 1 << 18
 # Bytes of one text that are split into words at a time.
 _SEGMENT = 1 << 20
 _PHRASES_AT_ONCE = 50_000
+# Cells of the sketch of occurrences, as powers of two: one byte per cell in a task, one bit in all tasks.
+_LEAST_BITS, _MOST_BITS = 16, 25
+# The sketch travels in so many parts.
+_SLICES = 64
 
 # A-Z lower-cased; what ends a piece becomes a full stop, a tab a space.
 _PLAIN = bytes(
@@ -160,17 +165,85 @@ def _columns(codes: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray]:
     return [np.abs(codes[at + i]) for i in range(k)]
 
 
+def _starts(row: dict, k: int) -> np.ndarray:
+    """Places of the phrases of k words to be counted in a block."""
+    at = _joined(row["at"], k - 1)
+    return at[row["codes"][at + k - 1] > 0]
+
+
+def _cells(row: dict, at: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """Cell of the sketch for each phrase of k words that starts ``at``; equal phrases share one."""
+    seed = zlib.crc32(row["lang"].encode())
+    hashes = np.array([zlib.crc32(w, seed) for w in row["words"]], np.uint64)
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    mixed = np.full(len(at), seed, np.uint64)
+    for column in _columns(row["codes"], at, k):
+        mixed = (mixed + hashes[column]) * factor
+        mixed ^= mixed >> np.uint64(31)
+    return ((mixed * factor) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _sketch_bits(words: int) -> int:
+    """Size of the sketch for so many words; 0 if it would be too full to tell rare phrases apart."""
+    bits = max(_LEAST_BITS, (words >> 2).bit_length())
+    return 0 if bits > _MOST_BITS + 2 else min(bits, _MOST_BITS)
+
+
+def _possible(blocks: DataFrame, k: int, min_count: int, bits: int) -> np.ndarray:
+    """One bit per cell of a counting sketch: whether a phrase of k words in it may be frequent.
+
+    A cell counts all occurrences of all its phrases, so it never counts a phrase too low. At most
+    ``2 ** _MOST_BITS`` bits pass through the driver.
+    """
+    size = (1 << bits) // _SLICES
+    least = min(min_count, 255)
+    names = ["slice", "cells"]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = None
+        for row in _rows(batches):
+            counts = np.zeros(1 << bits, np.uint8) if counts is None else counts
+            cells, n = np.unique(_cells(row, _starts(row, k), k, bits), return_counts=True)
+            counts[cells] = np.minimum(counts[cells] + n, 255)
+        for i in range(_SLICES if counts is not None else 0):
+            part = zstandard.compress(counts[i * size : (i + 1) * size].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part], pa.binary())], names=names)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, cells in zip(batch.column("slice").to_pylist(), batch.column("cells")):
+                part = np.frombuffer(zstandard.decompress(cells.as_py()), np.uint8).astype(np.uint16)
+                sums[i] = np.minimum(sums.get(i, 0) + part, 255).astype(np.uint16)
+        for i, total in sums.items():
+            part = np.packbits(total >= least).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part], pa.binary())], names=names)
+
+    ddl = "slice bigint, cells binary"
+    parts = blocks.mapInArrow(sketch, ddl).repartition("slice").mapInArrow(added, ddl).collect()
+    possible = np.zeros((_SLICES, size // 8), np.uint8)
+    for part in parts:
+        possible[part["slice"]] = np.frombuffer(part["cells"], np.uint8)
+    return possible.reshape(-1)
+
+
 _COUNTS_DDL = "block bigint, lang string, phrase string, n bigint"
 
 
-def _counts(blocks: DataFrame, k: int) -> DataFrame:
-    """Per block, how often each phrase of k words occurs whose shorter phrases are frequent."""
+def _counts(blocks: DataFrame, k: int, possible: np.ndarray | None = None) -> DataFrame:
+    """Per block, how often each phrase of k words occurs whose shorter phrases are frequent.
+
+    Phrases whose cell is not ``possible`` are too rare and left out.
+    """
+    bits = (possible.size * 8).bit_length() - 1 if possible is not None else 0
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             codes, words = row["codes"], row["words"]
-            at = _joined(row["at"], k - 1)
-            at = at[codes[at + k - 1] > 0]
+            at = _starts(row, k)
+            if possible is not None:
+                cells = _cells(row, at, k, bits)
+                at = at[(possible[cells >> 3] >> (7 - (cells & 7))) & 1 == 1]
             _, first, n = np.unique(
                 _ids(_columns(codes, at, k)), return_index=True, return_counts=True
             )
@@ -191,14 +264,16 @@ def _counts(blocks: DataFrame, k: int) -> DataFrame:
     return blocks.mapInArrow(count, _COUNTS_DDL)
 
 
-def _frequent(blocks: DataFrame, k: int, min_count: int) -> DataFrame:
+def _frequent(blocks: DataFrame, k: int, min_count: int, bits: int = 0) -> DataFrame:
     """Phrases of k words that occur often enough: lang, phrase, f, and in which blocks.
 
     Sorted by phrase and group-counted. What arrives is one row per phrase and block, so a
-    very common phrase is no hot key.
+    very common phrase is no hot key. With ``bits`` most phrases that are too rare are left out
+    before, by a sketch of that size; the counts stay exact.
     """
     same = Window.partitionBy("phrase", "lang")
-    counted = _counts(blocks, k).withColumn("f", F.sum("n").over(same))
+    possible = _possible(blocks, k, min_count, bits) if bits else None
+    counted = _counts(blocks, k, possible).withColumn("f", F.sum("n").over(same))
     counted = counted.withColumn("first", F.min("block").over(same) == F.col("block"))
     return written(counted.filter(F.col("f") >= min_count).drop("n"), f"phrases-{k}")
 
@@ -306,7 +381,8 @@ def collocations(
     The occurrence relation is stored in blocks, sorted by piece and position, words
     numbered per block. It is merge-joined with itself by adjacent position; phrases are
     counted per block, then over all blocks; blocks keep the places of frequent phrases, and
-    only these are extended. Counts are of phrases themselves, not of hashes.
+    only these are extended. Counts are of phrases themselves, not of hashes. A counting sketch
+    leaves out most phrases of several words that are too rare before they travel.
 
     A NULL or empty text has no words, a NULL language is ``und``. Repeated documents
     count each time. Long texts are cut into blocks without losing phrases. A language
@@ -315,14 +391,13 @@ def collocations(
     """
     blocks = occurrence_blocks(docs, max_words - 1, block_words)
     totals = blocks.groupBy(F.col("lang").alias("_lang")).agg(F.sum("words").alias("n"))
-    relation, levels = blocks, []
+    relation, levels, bits = blocks, [], 0
     for k in range(1, max_words + 1):
-        found = _frequent(relation, k, min_count)
+        found = _frequent(relation, k, min_count, bits)
         levels.append(found.filter("first").select("lang", "phrase", "f", F.lit(k).alias("size")))
         if k < max_words:
-            relation = _semi_joined(relation, found, k)
-            # The last one is read once only.
-            relation = written(relation, f"occurrences-{k}") if k + 1 < max_words else relation
+            relation = written(_semi_joined(relation, found, k), f"occurrences-{k}")
+            bits = _sketch_bits(relation.agg(F.sum("words")).first()[0] or 0)
     frequent = reduce(DataFrame.unionByName, levels)
 
     around = _absorbed(frequent, max_words).withColumnRenamed("lang", "_lang")
