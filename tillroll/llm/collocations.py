@@ -189,6 +189,12 @@ def _sketch_bits(words: int) -> int:
     return 0 if bits > _MOST_BITS + 2 else min(bits, _MOST_BITS)
 
 
+def _held(possible: np.ndarray, row: dict, at: np.ndarray, k: int) -> np.ndarray:
+    """Those of the places whose phrase of k words lies in a ``possible`` cell."""
+    cells = _cells(row, at, k, (possible.size * 8).bit_length() - 1)
+    return at[(possible[cells >> 3] >> (7 - (cells & 7))) & 1 == 1]
+
+
 def _possible(blocks: DataFrame, k: int, min_count: int, bits: int) -> np.ndarray:
     """One bit per cell of a counting sketch: whether a phrase of k words in it may be frequent.
 
@@ -235,15 +241,13 @@ def _counts(blocks: DataFrame, k: int, possible: np.ndarray | None = None) -> Da
 
     Phrases whose cell is not ``possible`` are too rare and left out.
     """
-    bits = (possible.size * 8).bit_length() - 1 if possible is not None else 0
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             codes, words = row["codes"], row["words"]
             at = _starts(row, k)
             if possible is not None:
-                cells = _cells(row, at, k, bits)
-                at = at[(possible[cells >> 3] >> (7 - (cells & 7))) & 1 == 1]
+                at = _held(possible, row, at, k)
             _, first, n = np.unique(
                 _ids(_columns(codes, at, k)), return_index=True, return_counts=True
             )
@@ -264,26 +268,55 @@ def _counts(blocks: DataFrame, k: int, possible: np.ndarray | None = None) -> Da
     return blocks.mapInArrow(count, _COUNTS_DDL)
 
 
-def _frequent(blocks: DataFrame, k: int, min_count: int, bits: int = 0) -> DataFrame:
+def _frequent(
+    blocks: DataFrame, k: int, min_count: int, possible: np.ndarray | None = None
+) -> DataFrame:
     """Phrases of k words that occur often enough: lang, phrase, f, and in which blocks.
 
     Sorted by phrase and group-counted. What arrives is one row per phrase and block, so a
-    very common phrase is no hot key. With ``bits`` most phrases that are too rare are left out
-    before, by a sketch of that size; the counts stay exact.
+    very common phrase is no hot key. For ``possible`` see ``_counts``; the counts stay exact.
     """
     same = Window.partitionBy("phrase", "lang")
-    possible = _possible(blocks, k, min_count, bits) if bits else None
     counted = _counts(blocks, k, possible).withColumn("f", F.sum("n").over(same))
     counted = counted.withColumn("first", F.min("block").over(same) == F.col("block"))
     return written(counted.filter(F.col("f") >= min_count).drop("n"), f"phrases-{k}")
 
 
+def _with_marks(row: dict, codes: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
+    """The block again, with ``marks`` at its places."""
+    row["codes"] = zstandard.compress(codes.tobytes())
+    row["words"] = int(np.count_nonzero(codes > 0))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([row[c]], t) for c, t in _BLOCK_FIELDS]
+        + [pa.array([np.packbits(marks).tobytes()], pa.binary())],
+        names=[*(c for c, _ in _BLOCK_FIELDS), "marks"],
+    )
+
+
+_MARKED_DDL = f"{_BLOCK_DDL}, marks binary"
+
+
+def _semi_joined_by_sketch(blocks: DataFrame, possible: np.ndarray, k: int) -> DataFrame:
+    """The occurrence relation of phrases that may be frequent, without an exchange.
+
+    ``marks`` has a bit for every place where a phrase of k words in a ``possible`` cell starts: no
+    frequent one is missed, and further ones only lead to longer phrases that prove too rare.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            marks = np.zeros(len(row["codes"]), bool)
+            marks[_held(possible, row, _joined(row["at"], k - 1), k)] = True
+            yield _with_marks(row, row["codes"], marks)
+
+    return blocks.mapInArrow(mark, _MARKED_DDL)
+
+
 def _semi_joined(blocks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
     """The occurrence relation of frequent phrases: rare words are gone, ``marks`` has a bit
     for every place where a frequent phrase of k words starts."""
     kept = frequent.groupBy(F.col("block").alias("_block")).agg(F.collect_list("phrase").alias("kept"))
     joined = blocks.join(kept, F.col("block") == F.col("_block")).drop("_block")
-    names = [c for c, _ in _BLOCK_FIELDS]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -301,15 +334,9 @@ def _semi_joined(blocks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
             marks[at] = True
             if k == 1:
                 codes = np.where(marks, codes, 0).astype("<i4")
-            row["codes"] = zstandard.compress(codes.tobytes())
-            row["words"] = int(np.count_nonzero(codes > 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[c]], t) for c, t in _BLOCK_FIELDS]
-                + [pa.array([np.packbits(marks).tobytes()], pa.binary())],
-                names=[*names, "marks"],
-            )
+            yield _with_marks(row, codes, marks)
 
-    return joined.mapInArrow(mark, f"{_BLOCK_DDL}, marks binary")
+    return joined.mapInArrow(mark, _MARKED_DDL)
 
 
 def _part(words: Column, start: Column, length: Column) -> Column:
@@ -393,9 +420,12 @@ def collocations(
     totals = blocks.groupBy(F.col("lang").alias("_lang")).agg(F.sum("words").alias("n"))
     relation, levels, bits = blocks, [], 0
     for k in range(1, max_words + 1):
-        found = _frequent(relation, k, min_count, bits)
+        possible = _possible(relation, k, min_count, bits) if bits else None
+        found = _frequent(relation, k, min_count, possible)
         levels.append(found.filter("first").select("lang", "phrase", "f", F.lit(k).alias("size")))
-        if k < max_words:
+        if k < max_words and bits:
+            relation = _semi_joined_by_sketch(relation, possible, k)
+        elif k < max_words:
             relation = written(_semi_joined(relation, found, k), f"occurrences-{k}")
             bits = _sketch_bits(relation.agg(F.sum("words")).first()[0] or 0)
     frequent = reduce(DataFrame.unionByName, levels)
