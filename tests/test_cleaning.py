@@ -5,6 +5,7 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.operators import cleaning as c
 from tillroll.operators.quality import range_check
@@ -329,3 +330,24 @@ def test_white_space_of_any_kind_is_stripped_at_either_end(spark):
     lines = c.read_cells(export(spark, [[v, str(i)] for i, v in enumerate(cells)], ["city", "n"]))
     got = [r["city"] for r in lines.orderBy("n").collect()]
     assert got == ["x", "x", "\u00e9", "\u00e9", "x", None, None, "a longer text"]
+
+
+@pytest.mark.parametrize("target", [CLEAN_LINE["sales"].dataType, CLEAN_LINE["discount"].dataType, CLEAN_LINE["quantity"].dataType])
+def test_types_by_whole_units_equal_a_rounding_cast(spark, target):
+    odd = [0.125, 1.005, -1.005, 2.675, 0.285, 0.00005, 9.99995, 99999.5, 2.5, -0.5, -0.004, 8589934591.995, 9999999999.99,
+           9999999999.995, 2147483647.4, 2147483647.5, 1e300, float("inf"), float("nan"), None]
+    values = [(v,) for v in odd] + [(i * 0.005 + j * 0.01 * (1 - 0.04 * j),) for i in range(-300, 2_000) for j in range(3)]
+    df = spark.createDataFrame(values, "v double")
+    cast = F.round("v") if target.typeName() == "integer" else F.col("v")
+    found = df.select("v", c.typed(F.col("v"), target).alias("got"), cast.try_cast(target).alias("want"))
+    assert found.filter("not (got <=> want)").collect() == []
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in plan.lower()
+
+
+def test_ends_are_looked_at_by_the_last_byte(spark):
+    # Letters whose last byte equals that of a wide space, ends of every kind, and a lone blank.
+    cells = ["x\u00a0", "\u00e0", "\u0160", "a\u2028", "a\x7f", "a~", "a!", "\x85", "\u3000", " ", "a\U0001f600 "]
+    lines = c.read_cells(export(spark, [[v, str(i)] for i, v in enumerate(cells)], ["city", "n"])).orderBy("n")
+    got = {r["n"]: r["city"] for r in lines.collect()}
+    assert [got[str(i)] for i in range(len(cells))] == [v.strip() or None for v in cells]

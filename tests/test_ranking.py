@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators import ranking
-from tillroll.operators.ranking import accumulated, numbered, tiled, tiled_by_value
+from tillroll.operators import cleaning, ranking
+from tillroll.operators.ranking import accumulated, numbered, numbered_by_lead, tiled, tiled_by_value
+from tillroll.sources.mapped import raw_export
+from tillroll.sources.scratch import written
 
 
 def _values(kind: str, n: int):
@@ -116,3 +118,27 @@ def test_tiles_by_value_sort_only_rows_near_edges(spark, monkeypatch):
     df = _frame(spark, "unique", 4000)
     assert tiled_by_value(df, "t", 10, "v", ["id"]).groupBy("t").count().filter("count <> 400").isEmpty()
     assert len(sizes) == 1 and 0 < sizes[0] < 4000 * 0.12
+
+
+@pytest.mark.parametrize("days", [1, 60, 5_000])
+def test_numbers_by_day_equal_plain_window_and_sample_only_for_busy_days(spark, days, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ranking, "written", lambda df, label: kept.append(df) or written(df, label))
+    day = F.when(F.col("id") % 50 != 49, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 37 % days).cast("int")))
+    df = spark.range(5_000).select(day.alias("d"), (F.col("id") * 7 % 5_000).alias("k")).repartition(6)
+    if days > 1:
+        df = df.filter("d is not null or k < 20")
+    order = [F.asc_nulls_last("d"), F.asc_nulls_last("k")]
+    got = numbered_by_lead(df, "n", "d", order).collect()
+    want = df.select("d", "k", F.row_number().over(Window.orderBy(*order)).alias("n")).collect()
+    assert sorted(got, key=lambda r: r["n"]) == sorted(want, key=lambda r: r["n"])
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    assert ("rangepartitioning" in plan) == (days == 1)
+
+
+def test_lines_of_many_days_are_numbered_without_sampling_whole_rows(spark, folder, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ranking, "written", lambda df, label: kept.append(df) or written(df, label))
+    lines = cleaning.clean(raw_export(spark, folder))
+    assert lines.count() == lines.agg(F.max("order_line_id")).first()[0]
+    assert "rangepartitioning" not in kept[0]._jdf.queryExecution().executedPlan().toString()

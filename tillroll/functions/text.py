@@ -20,9 +20,13 @@ def canonical_name(header: str, aliases: dict[str, str]) -> str:
 
 
 def _padded(cell: Column) -> Column:
-    """Whether white space may stand at an end: "!" follows the blank, and most cells begin in ASCII."""
+    """Whether white space may stand at an end: "!" follows the blank, and most cells begin in ASCII.
+
+    Most cells also end in it, which the last byte tells without counting characters.
+    """
     first = (cell < "!") | ((cell >= "\x7f") & F.left(cell, F.lit(1)).isin(_SPACES))
-    return first | F.right(cell, F.lit(1)).isin(_SPACES)
+    byte = F.substring(cell.cast("binary"), -1, 1)
+    return first | (~byte.between(F.lit(b"!"), F.lit(b"~")) & F.right(cell, F.lit(1)).isin(_SPACES))
 
 
 def _bare(cell: Column) -> Column:

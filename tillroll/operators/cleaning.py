@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegerType, StringType
+from pyspark.sql.types import DataType, DecimalType, IntegerType, StringType
 
 from ..functions.parse import parsed_date, parsed_number
 from ..functions.text import canonical_name, tidied, without_tokens
@@ -28,7 +29,7 @@ from ..schemas import (
     REQUIRED_COLUMNS,
 )
 from ..sources.scratch import written
-from .ranking import numbered
+from .ranking import numbered, numbered_by_lead
 from .skew import spread_join
 
 ALL_TOKENS = sorted({*MISSING_TOKENS, *READER_NA_TOKENS})
@@ -135,10 +136,23 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -
 
 
 def typed(value: Column, target: DataType) -> Column:
-    """Value in its declared type, NULL where it does not fit; fractions round half away."""
+    """Value in its declared type, NULL where it does not fit; fractions round half away.
+
+    Both roundings go through the text of a double. Where it is far from the middle between
+    two results, whole units of the last place give the same at half the cost.
+    """
     if isinstance(target, IntegerType):
-        value = F.round(value)
-    return value.try_cast(target)
+        whole = F.when(F.rint(value) == value, value).otherwise(F.round(value))
+        return whole.try_cast(target)
+    if not isinstance(target, DecimalType):
+        return value.try_cast(target)
+    scaled = value.try_cast("double") * float(10**target.scale)
+    units = F.rint(scaled)
+    largest = min(10 ** min(target.precision, 15) - 1, 2**33)
+    clear = (F.abs(scaled - units) < 0.49) & (F.abs(scaled) < float(largest))
+    step = F.lit(Decimal(1).scaleb(-target.scale))
+    near = (units.cast("bigint").cast("decimal(11,0)") * step).try_cast(target)
+    return F.when(clear, near).otherwise(value.try_cast(target))
 
 
 def apply_types(df: DataFrame) -> DataFrame:
@@ -163,6 +177,8 @@ def number_lines(df: DataFrame) -> DataFrame:
     intermediate table, from which everything downstream reads.
     """
     order = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns]
+    if df.columns[0] == "order_date":
+        return numbered_by_lead(df, "order_line_id", "order_date", order)
     return numbered(df, "order_line_id", order)
 
 

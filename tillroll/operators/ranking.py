@@ -84,6 +84,34 @@ def numbered(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     return rows.select(*df.columns, (_rank() + 1).alias(name))
 
 
+def numbered_by_lead(df: DataFrame, name: str, lead: str, order: Sequence[Column]) -> DataFrame:
+    """``numbered`` for an ``order`` that begins with the column ``lead``, rising and NULL last.
+
+    All rows with one value of ``lead`` go to the same task by its hash and are sorted there, so no
+    boundaries are sampled, which takes a further pass over whole rows. Rows per value are counted
+    first: if one value has more than a quarter of a partition's share, rows are spread by range
+    instead. One row per value is ranked in one task and broadcast, so ``lead`` should be a date or the like.
+    """
+    rows, largest = df.groupBy(lead).agg(F.count("*").alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if largest is None or 4 * largest * partitions > rows:
+        return numbered(df, name, order)
+    slot = F.monotonically_increasing_id()
+    placed = df.repartition(F.col(lead)).sortWithinPartitions(*order).withColumn("_slot", slot)
+    placed = written(placed, "numbered")
+    earlier = Window.orderBy(F.col("_lead").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(F.col(lead).alias("_lead"))
+        .agg(F.count("*").alias("_n"), F.min("_slot").alias("_first"))
+        .select("_lead", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE))
+    )
+    same = F.col(lead).eqNullSafe(F.col("_lead"))
+    number = F.col(_BEFORE) + F.col("_slot") - F.col("_first") + 1
+    return placed.join(F.broadcast(offsets), same).select(
+        *(f"`{c}`" for c in df.columns), number.alias(name)
+    )
+
+
 def _tile(rank: Column, n: Column, tiles: int) -> Column:
     """Tile of the row at ``rank`` (from 0) of ``n`` rows: the first ``n % tiles`` tiles have one more."""
     small, larger = _quotient(n, F.lit(tiles)), n % tiles
