@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll import catalogue
 from tillroll.operators import cleaning as c
 from tillroll.operators.quality import range_check
 from tillroll.schemas import CLEAN_LINE
@@ -351,3 +352,22 @@ def test_ends_are_looked_at_by_the_last_byte(spark):
     lines = c.read_cells(export(spark, [[v, str(i)] for i, v in enumerate(cells)], ["city", "n"])).orderBy("n")
     got = {r["n"]: r["city"] for r in lines.collect()}
     assert [got[str(i)] for i in range(len(cells))] == [v.strip() or None for v in cells]
+
+
+def test_batches_by_order_date_make_the_text_of_the_date_once_and_lose_no_row(spark, folder, monkeypatch):
+    batches = []
+    monkeypatch.setattr(catalogue.cleaning, "clean", lambda raw, scale: batches.append(raw) or raw)
+    monkeypatch.setattr(catalogue.star, "build_star", lambda lines: lines)
+    raw = mapped.raw_export(spark, folder)
+    catalogue._two_batches(raw)
+    for batch in batches:
+        plan = batch._jdf.queryExecution().optimizedPlan().toString()
+        pushed = [line.count("date_format") for line in plan.splitlines() if "Filter" in line]
+        # One for each of the two formats that dates are written in.
+        assert max(pushed) == 2
+    texts = [None, "not a date", "5/31/1995", "6/1/1995", " 1995-05-31 ", "1995-06-01"]
+    batches.clear()
+    catalogue._two_batches(export(spark, [[text] for text in texts], ["Order Date"]))
+    early, late = ({r[0] for r in batch.collect()} for batch in batches)
+    assert early == {"5/31/1995", " 1995-05-31 "}
+    assert late == {None, "not a date", "6/1/1995", "1995-06-01"}

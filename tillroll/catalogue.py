@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.parse import parsed_date
@@ -171,8 +171,15 @@ def _planted_ranges(raw: DataFrame) -> DataFrame:
 
 
 def _two_batches(raw: DataFrame) -> tuple[Star, Star]:
-    """The export cleaned in two batches by order date."""
-    early = parsed_date(F.col("Order Date"), DATE_FORMATS) < F.lit(dt.date(1995, 6, 1))
+    """The export cleaned in two batches by order date.
+
+    The filter is pushed below the joins of the export. There the text of the cell would be made anew
+    for each of its many uses in the parser; as an element of an array it is made once.
+    """
+    def before(cell: Column) -> Column:
+        return parsed_date(cell, DATE_FORMATS) < F.lit(dt.date(1995, 6, 1))
+
+    early = F.exists(F.array("Order Date"), before)
     first = star.build_star(cleaning.clean(raw.filter(early), scale="percent"))
     late = raw.filter(~F.coalesce(early, F.lit(False)))
     return first, star.build_star(cleaning.clean(late, scale="percent"))
