@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,7 @@ from tillroll.operators import cleaning as c
 from tillroll.operators.quality import range_check
 from tillroll.schemas import CLEAN_LINE
 from tillroll.sources import mapped, raw_csv
+from tillroll.sources.scratch import written
 
 HEADER = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity"]
 LINE = ["o1", "1/2/2024", "p1", "10", "1"]
@@ -371,3 +373,20 @@ def test_batches_by_order_date_make_the_text_of_the_date_once_and_lose_no_row(sp
     early, late = ({r[0] for r in batch.collect()} for batch in batches)
     assert early == {"5/31/1995", " 1995-05-31 "}
     assert late == {None, "not a date", "6/1/1995", "1995-06-01"}
+
+
+@pytest.mark.parametrize("busy", [False, True])
+def test_copies_are_folded_by_order_and_a_busy_order_by_all_columns(spark, monkeypatch, busy):
+    plans = []
+    monkeypatch.setattr(c, "written", lambda df, label: plans.append(df) or written(df, label))
+    rows = []
+    for i in range(600):
+        order = "walk-in" if busy and i % 2 else [f" o{i % 150} ", "N/A", None][0 if i % 10 else 1 + i % 20 // 10]
+        rows += [(order, "1/2/2024", f"p{i % 40}", "1", str(i % 3), [None, " x"][i % 2])] * (1 + i % 3)
+    columns = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity", "City"]
+    raw = export(spark, rows, columns).repartition(4)
+    found = c.distinct_lines(raw).select("order_id", "product_id", "quantity", "city", "`#copies`").collect()
+    tidy = Counter((None if r[0] in ("N/A", None) else r[0].strip(), r[2], float(r[4]), r[5] and "x") for r in rows)
+    assert Counter({tuple(r)[:4]: r[4] for r in found}) == tidy and len(found) == len(tidy)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert ("hashpartitioning(#near" in plan) != busy

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -185,6 +186,32 @@ def test_scratch_tables_can_be_discarded(spark):
     assert set(shared.iterdir()) == before
 
 
+def _shuffle_files(spark):
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+    return {blocks.apply(i).name() for i in range(blocks.size()) if blocks.apply(i).isShuffle()}
+
+
+def test_a_stored_table_leaves_no_shuffle_files_and_no_setting_behind(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(setting), _shuffle_files(spark)
+    table = written(spark.range(10_000).repartition(5, "id").groupBy("id").count(), "counts")
+    assert spark.conf.get(setting) == before
+    # Spark removes them in the background.
+    deadline = time.time() + 20
+    while time.time() < deadline and _shuffle_files(spark) - files:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - files
+    assert table.count() == 10_000
+
+
+def test_cleaning_leaves_only_the_numbered_lines_on_disk(spark, folder):
+    shared = Path(checkpoint_folder(spark))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    lines = clean(raw_export(spark, folder))
+    assert [path.name.split("-")[0] for path in set(shared.iterdir()) - before] == ["numbered"]
+    assert lines.count() == lines.select("order_line_id").distinct().count() > 0
+
+
 def _nameless(spark, rows):
     names = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity", "Region"]
     raw = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))

@@ -28,9 +28,9 @@ from ..schemas import (
     READER_NA_TOKENS,
     REQUIRED_COLUMNS,
 )
-from ..sources.scratch import written
+from ..sources.scratch import delete, noted, passing, written
 from .ranking import numbered, numbered_by_lead
-from .skew import spread_join
+from .skew import heavy_keys, spread_join
 
 ALL_TOKENS = sorted({*MISSING_TOKENS, *READER_NA_TOKENS})
 
@@ -250,7 +250,10 @@ def read_cells(
     With ``strict_order`` tokens are looked for before trimming, so that a padded
     token stays text. Columns that a caller does not use are not parsed.
     """
-    rules = _cell_rules(df.columns, list(tokens), formats, strict_order)
+    return _with_rules(df, _cell_rules(df.columns, list(tokens), formats, strict_order))
+
+
+def _with_rules(df: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
     cells = ((c, F.col(f"`{c}`")) for c in df.columns)
     return df.select(*((rules[c](v) if c in rules else v).alias(c) for c, v in cells))
 
@@ -280,31 +283,57 @@ def parsed(
 
 
 # No header can become such a name.
-_COPIES, _MALFORMED_COPIES, _FILE = "#copies", "#malformed", "#file"
+_COPIES, _MALFORMED_COPIES, _FILE, _NEAR = "#copies", "#malformed", "#file", "#near"
 
 
 def distinct_lines(
-    raw: DataFrame, aliases: Mapping[str, str] = COLUMN_ALIASES, **cell_options
+    raw: DataFrame,
+    aliases: Mapping[str, str] = COLUMN_ALIASES,
+    tokens: Iterable[str] = ALL_TOKENS,
+    formats: Sequence[str] = DATE_FORMATS,
+    strict_order: bool = False,
 ) -> DataFrame:
     """Parsed rows, copies folded and counted, written once: the only step that reads ``raw``.
 
     ``finished`` and ``audited`` go on from it. Copies are folded before the discount
-    is scaled and measures are derived, which treat equal rows alike. They collapse
-    within each input task first, so a row repeated any number of times costs one
-    shuffled row per task.
+    is scaled and measures are derived, which treat equal rows alike.
+
+    The export is stored as it comes, which ends the work behind it, and deleted afterwards. Its
+    lines are dealt by their order, as lines of one order lie together and are packed well then. If
+    an order fills more than two tasks, lines are dealt by all columns instead, and collapse within
+    each input task first: a row repeated any number of times costs one shuffled row per task.
     """
-    lines = read_cells(standard_names(raw, aliases), **cell_options)
-    _measured(lines, "fraction")
-    malformed = F.col(MALFORMED) if MALFORMED in lines.columns else F.lit(False)
+    named_raw = standard_names(raw, aliases)
+    rules = _cell_rules(named_raw.columns, list(tokens), formats, strict_order)
+    _measured(_with_rules(named_raw, rules), "fraction")
+    with passing(named_raw, "raw-lines") as stored:
+        return written(_folded(stored, rules), "distinct-lines")
+
+
+def _folded(stored: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Distinct parsed rows of a stored export, with counts of their copies."""
+    columns = [c for c in stored.columns if c not in (MALFORMED, ORIGIN)]
+    malformed = F.col(MALFORMED) if MALFORMED in stored.columns else F.lit(False)
     counts = [F.count("*").alias(_COPIES), F.count_if(malformed).alias(_MALFORMED_COPIES)]
     # The least of some texts is found by sorting whole rows, so only where there are any.
-    named = ORIGIN in lines.columns
-    folded = lines.groupBy(*(f"`{c}`" for c in lines.columns if c not in (MALFORMED, ORIGIN))).agg(
-        *counts, *([F.min(ORIGIN).alias(_FILE)] if named else [])
-    )
-    if not named:
-        folded = folded.withColumn(_FILE, F.lit(None).cast("string"))
-    return written(folded, "distinct-lines")
+    named = ORIGIN in stored.columns
+    if named:
+        counts.append(F.min(ORIGIN).alias(_FILE))
+    order = F.coalesce(rules["order_id"](F.col("order_id")), rules["product_id"](F.col("product_id")))
+    partitions = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if heavy_keys(stored, order, partitions).isEmpty():
+        # Half of the cells are read on either side, so that the code of both stays small enough.
+        first = {c for c in rules if c in (*DATE_COLUMNS, *NUMBER_COLUMNS, "order_id", "product_id")}
+        dealt = (
+            _with_rules(stored, {c: r for c, r in rules.items() if c in first})
+            .withColumn(_NEAR, F.xxhash64(F.coalesce("order_id", "product_id")))
+            .repartition(F.col(_NEAR))
+        )
+        lines = _with_rules(dealt, {c: r for c, r in rules.items() if c not in first})
+        folded = lines.groupBy(_NEAR, *(f"`{c}`" for c in columns)).agg(*counts).drop(_NEAR)
+    else:
+        folded = _with_rules(stored, rules).groupBy(*(f"`{c}`" for c in columns)).agg(*counts)
+    return folded if named else folded.withColumn(_FILE, F.lit(None).cast("string"))
 
 
 def _declared(distinct: DataFrame, scale: str) -> DataFrame:
@@ -383,8 +412,14 @@ def rejected(distinct: DataFrame, scale: str = "auto") -> DataFrame:
 
 
 def clean(raw: DataFrame, scale: str = "auto", **options) -> DataFrame:
-    """``finished`` lines of a raw export."""
-    return finished(distinct_lines(raw, **options), scale)
+    """``finished`` lines of a raw export. The distinct lines are deleted once the numbered ones are written."""
+    with noted() as folders:
+        distinct = distinct_lines(raw, **options)
+    try:
+        return finished(distinct, scale)
+    finally:
+        for folder in folders:
+            delete(raw.sparkSession, folder)
 
 
 def cleaning_audit(raw: DataFrame, scale: str = "auto", **options) -> DataFrame:
