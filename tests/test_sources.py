@@ -13,7 +13,7 @@ from tests.test_star_and_quality import line, small_star
 from tillroll.operators.cleaning import MALFORMED, clean, cleaning_audit
 from tillroll.operators.star import build_star
 from tillroll.plans import analysis, views
-from tillroll.sources import raw_csv, tables
+from tillroll.sources import raw_csv, scratch, tables
 from tillroll.sources.mapped import raw_export
 from tillroll.sources.scratch import checkpoint_folder, discarded, written
 
@@ -212,6 +212,44 @@ def test_cleaning_leaves_only_the_numbered_lines_on_disk(spark, folder):
     assert lines.count() == lines.select("order_line_id").distinct().count() > 0
 
 
+def test_large_tables_are_shuffled_in_rounds_with_the_same_result(spark, folder, monkeypatch):
+    plain = clean(raw_export(spark, folder))
+    monkeypatch.setattr(scratch, "ROUND_BYTES", 0)
+    with scratch.noted() as folders:
+        rounds = clean(raw_export(spark, folder))
+    names = [Path(path).name.split("-")[0] for path in folders]
+    assert names == ["numbered"] * 2
+    assert rounds.exceptAll(plain).isEmpty() and rounds.count() == plain.count()
+    table = written(spark.sql("select * from values (1), (2), (3), (null), (null) as t(k)"), "keys")
+    shares = scratch.in_rounds(table, F.col("k"))
+    assert sum(table.filter(share).count() for share in shares) == 5
+    assert sorted(table.filter(share).filter("k is null").count() for share in shares) == [0, 2]
+
+
+@pytest.mark.parametrize("plan", [views.enriched, views.dashboard_base, lambda star, **o: views.enriched(star, spread=True, **o)])
+def test_views_stored_between_joins_hold_the_same_lines(spark, plan):
+    star = small_star(spark, [line(i, customer_id=["c1", "nobody", None][i % 3]) for i in range(9)])
+    with scratch.noted() as folders:
+        stored = plan(star, stored=True)
+    labels = [Path(path).name.rsplit("-", 1)[0] for path in folders]
+    assert [label for label in labels if label != "heavy-keys"] == ["joined-dimension", "joined-lines", "joined-dimension"]
+    plain = plan(star)
+    assert stored.columns == plain.columns
+    assert stored.exceptAll(plain).isEmpty() and stored.count() == plain.count() > 0
+
+
+def test_what_is_cheap_to_make_does_not_travel_through_the_joins(spark, folder):
+    for frame, names in [
+        (raw_export(spark, folder), ["List Price", "cost price", "Product ID", "Customer ID", "Order ID", "City"]),
+        (views.dashboard_base(small_star(spark, [line(1)])), ["margin"]),
+    ]:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        first = min(i for i, text in enumerate(plan) if "Join" in text)
+        for name in names:
+            assert [i for i, text in enumerate(plan) if f" AS {name}#" in text and i < first]
+            assert not [i for i, text in enumerate(plan) if f" AS {name}#" in text and i > first]
+
+
 def _nameless(spark, rows):
     names = ["Order ID", "Order Date", "Product ID", "Sales", "Quantity", "Region"]
     raw = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))

@@ -115,7 +115,7 @@ def _customer_key_spread(raw: DataFrame) -> DataFrame:
 
 def _enriched_spread(raw: DataFrame) -> DataFrame:
     """The enriched view where busy places, customers and products are joined in pieces."""
-    return views.enriched(star.build_star(cleaning.clean(raw), spread=True), spread=True)
+    return views.enriched(star.build_star(cleaning.clean(raw), spread=True), spread=True, stored=True)
 
 
 def _order_line_id(raw: DataFrame) -> DataFrame:
@@ -294,7 +294,9 @@ QUERIES: dict[str, Query] = {
     ),
     "appended_top_regions": _over_export(lambda raw: report.top_regions(_appended(raw))),
     # views
-    "order_lines_enriched": _over_export(lambda raw: views.enriched(_cleaned_star(raw))),
+    "order_lines_enriched": _over_export(
+        lambda raw: views.enriched(_cleaned_star(raw), stored=True)
+    ),
     "order_lines_enriched_spread": _over_export(_enriched_spread),
     "monthly_sales_summary": _over_star(views.monthly_summary),
     "monthly_summary_merged": _over_export(_merged_summary),
@@ -317,7 +319,9 @@ QUERIES: dict[str, Query] = {
     "top_losses": _over_star(report.top_losses),
     "top_decile_share": _over_star(report.top_decile_share),
     # dashboard
-    "dashboard_base": _over_export(lambda raw: views.dashboard_base(_cleaned_star(raw))),
+    "dashboard_base": _over_export(
+        lambda raw: views.dashboard_base(_cleaned_star(raw), stored=True)
+    ),
     "filter_options": _over_star(dashboard.filter_options),
     "filtered_lines": _over_dashboard(lambda lines: lines, "order_id", "product_id", "sales"),
     "dashboard_kpis": _over_dashboard(dashboard.kpis, "order_id", "sales", "profit"),

@@ -28,7 +28,7 @@ from ..schemas import (
     READER_NA_TOKENS,
     REQUIRED_COLUMNS,
 )
-from ..sources.scratch import delete, noted, passing, written
+from ..sources.scratch import delete, in_rounds, noted, passing, written
 from .ranking import numbered, numbered_by_lead
 from .skew import heavy_keys, spread_join
 
@@ -306,34 +306,38 @@ def distinct_lines(
     named_raw = standard_names(raw, aliases)
     rules = _cell_rules(named_raw.columns, list(tokens), formats, strict_order)
     _measured(_with_rules(named_raw, rules), "fraction")
-    with passing(named_raw, "raw-lines") as stored:
-        return written(_folded(stored, rules), "distinct-lines")
+    order = F.coalesce(rules["order_id"](F.col("order_id")), rules["product_id"](F.col("product_id")))
+    with passing(named_raw.withColumn(_NEAR, F.hash(order)), "raw-lines") as stored:
+        parts = [written(part, "distinct-lines") for part in _folded(stored, rules)]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _folded(stored: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
-    """Distinct parsed rows of a stored export, with counts of their copies."""
-    columns = [c for c in stored.columns if c not in (MALFORMED, ORIGIN)]
+def _folded(stored: DataFrame, rules: Mapping[str, Callable[[Column], Column]]) -> list[DataFrame]:
+    """Distinct parsed rows of a stored export, with counts of their copies; in shares of the orders."""
+    columns = [c for c in stored.columns if c not in (MALFORMED, ORIGIN, _NEAR)]
     malformed = F.col(MALFORMED) if MALFORMED in stored.columns else F.lit(False)
     counts = [F.count("*").alias(_COPIES), F.count_if(malformed).alias(_MALFORMED_COPIES)]
     # The least of some texts is found by sorting whole rows, so only where there are any.
     named = ORIGIN in stored.columns
     if named:
         counts.append(F.min(ORIGIN).alias(_FILE))
-    order = F.coalesce(rules["order_id"](F.col("order_id")), rules["product_id"](F.col("product_id")))
+    near = F.col(f"`{_NEAR}`")
     partitions = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if heavy_keys(stored, order, partitions).isEmpty():
-        # Half of the cells are read on either side, so that the code of both stays small enough.
-        first = {c for c in rules if c in (*DATE_COLUMNS, *NUMBER_COLUMNS, "order_id", "product_id")}
-        dealt = (
-            _with_rules(stored, {c: r for c, r in rules.items() if c in first})
-            .withColumn(_NEAR, F.xxhash64(F.coalesce("order_id", "product_id")))
-            .repartition(F.col(_NEAR))
-        )
-        lines = _with_rules(dealt, {c: r for c, r in rules.items() if c not in first})
-        folded = lines.groupBy(_NEAR, *(f"`{c}`" for c in columns)).agg(*counts).drop(_NEAR)
-    else:
-        folded = _with_rules(stored, rules).groupBy(*(f"`{c}`" for c in columns)).agg(*counts)
-    return folded if named else folded.withColumn(_FILE, F.lit(None).cast("string"))
+    by_order = heavy_keys(stored, near, partitions).isEmpty()
+    # Half of the cells are read on either side, so that the code of both stays small enough.
+    first = {c for c in rules if c in (*DATE_COLUMNS, *NUMBER_COLUMNS, "order_id", "product_id")}
+
+    def folded(share: Column) -> DataFrame:
+        rows = stored.filter(share)
+        if by_order:
+            dealt = _with_rules(rows, {c: r for c, r in rules.items() if c in first}).repartition(near)
+            lines = _with_rules(dealt, {c: r for c, r in rules.items() if c not in first})
+            found = lines.groupBy(near, *(f"`{c}`" for c in columns)).agg(*counts).drop(_NEAR)
+        else:
+            found = _with_rules(rows, rules).groupBy(*(f"`{c}`" for c in columns)).agg(*counts)
+        return found if named else found.withColumn(_FILE, F.lit(None).cast("string"))
+
+    return [folded(share) for share in in_rounds(stored, near)]
 
 
 def _declared(distinct: DataFrame, scale: str) -> DataFrame:

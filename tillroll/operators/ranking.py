@@ -9,11 +9,12 @@ segment. The number of segments is at most ``spark.sql.shuffle.partitions``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import written
+from ..sources.scratch import in_rounds, written
 
 # Public layout of monotonically_increasing_id: segment number above, row in segment below.
 _ROW_BITS = 33
@@ -90,15 +91,18 @@ def numbered_by_lead(df: DataFrame, name: str, lead: str, order: Sequence[Column
     All rows with one value of ``lead`` go to the same task by its hash and are sorted there, so no
     boundaries are sampled, which takes a further pass over whole rows. Rows per value are counted
     first: if one value has more than a quarter of a partition's share, rows are spread by range
-    instead. One row per value is ranked in one task and broadcast, so ``lead`` should be a date or the like.
+    instead. A large table is sorted in two rounds, each with its share of the values. One row per value is ranked in one task and broadcast, so ``lead`` should be a date or the like.
     """
     rows, largest = df.groupBy(lead).agg(F.count("*").alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if largest is None or 4 * largest * partitions > rows:
         return numbered(df, name, order)
     slot = F.monotonically_increasing_id()
-    placed = df.repartition(F.col(lead)).sortWithinPartitions(*order).withColumn("_slot", slot)
-    placed = written(placed, "numbered")
+    parts = [
+        df.filter(share).repartition(F.col(lead)).sortWithinPartitions(*order).withColumn("_slot", slot)
+        for share in in_rounds(df, F.col(lead))
+    ]
+    placed = reduce(DataFrame.unionByName, [written(part, "numbered") for part in parts])
     earlier = Window.orderBy(F.col("_lead").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(F.col(lead).alias("_lead"))

@@ -140,19 +140,39 @@ def raw_export(spark: SparkSession, folder: str) -> DataFrame:
     part = _table(spark, folder, "part")
 
     us_date, iso_date = "M/d/yyyy", "yyyy-MM-dd"
-    order, product = F.col("o_orderkey"), F.col("p_partkey")
+    order, product = F.col("l_orderkey"), F.col("l_partkey")
     name = F.when(order % 7 == 0, F.upper("c_name")).otherwise(F.col("c_name"))
-    # What an order or a product determines is written out once for each, not on every line.
+    # Dates are costly to write out, so that is done once for each order, not on every line. What is
+    # cheap to make waits until all joins are done, as it would travel beside what it is made from.
+    key = F.col("o_orderkey")
+    dated = (
+        F.when(key % 101 == 0, "not a date")
+        .when(key % 5 == 0, F.date_format("o_orderdate", iso_date))
+        .otherwise(F.date_format("o_orderdate", us_date))
+    )
+    locations = _locations(spark, folder)
     placed = (
         orders.join(customer, customer.c_custkey == orders.o_custkey)
-        .join(_locations(spark, folder), F.col("location_id") == F.col("c_nationkey"))
         .select(
-            "o_orderkey",
+            "o_orderkey", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "o_orderpriority",
+            dated.alias("_ordered"),
+        )
+    )
+    products = part.select("p_partkey", "p_type", "p_brand", "p_name", "p_retailprice")
+    cost = (_money("p_retailprice") * F.lit("0.80").cast("decimal(3,2)")).cast(MONEY)
+    percent = _decimal(_discount_units(), 2, DecimalType(5, 2)).cast("string")
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    copies = F.when(order % 50 == 0, 2).otherwise(1)
+    return (
+        # Lines and orders both grow with the data: neither is a side to broadcast. Lines meet
+        # products while they are narrow, the wider orders after them, and the few places last.
+        lineitem.join(products, F.col("p_partkey") == product)
+        .join(placed.hint("merge"), order == F.col("o_orderkey"))
+        .join(locations, F.col("location_id") == F.col("c_nationkey"))
+        .select(
             F.when(order % 97 == 0, "N/A").otherwise(order.cast("string")).alias("Order ID"),
-            F.when(order % 101 == 0, "not a date")
-            .when(order % 5 == 0, F.date_format("o_orderdate", iso_date))
-            .otherwise(F.date_format("o_orderdate", us_date))
-            .alias("Order Date"),
+            F.col("_ordered").alias("Order Date"),
+            F.date_format("l_shipdate", us_date).alias("Ship Date"),
             F.col("o_orderpriority").alias("Ship Mode"),
             F.col("c_custkey").cast("string").alias("Customer ID"),
             F.concat(F.lit(" \t"), name, F.lit("  ")).alias("Customer Name"),
@@ -164,38 +184,13 @@ def raw_export(spark: SparkSession, folder: str) -> DataFrame:
             F.col("state").alias("State"),
             F.col("postal_code").alias("Postal Code"),
             F.col("region").alias("Region"),
-        )
-    )
-    cost = (_money("p_retailprice") * F.lit("0.80").cast("decimal(3,2)")).cast(MONEY)
-    products = part.select(
-        "p_partkey",
-        product.cast("string").alias("Product ID"),
-        F.col("p_type").alias("Category"),
-        F.col("p_brand").alias("Sub-Category"),
-        F.col("p_name").alias("Product Name"),
-        _money("p_retailprice").cast("string").alias("List Price"),
-        cost.cast("string").alias("cost price"),
-    )
-    percent = _decimal(_discount_units(), 2, DecimalType(5, 2)).cast("string")
-    quantity = F.col("l_quantity").cast("int").cast("string")
-    copies = F.when(F.col("l_orderkey") % 50 == 0, 2).otherwise(1)
-    return (
-        # Lines and orders both grow with the data: neither is a side to broadcast. Lines meet
-        # products while they are narrow, and the wider orders last.
-        lineitem.join(products, product == F.col("l_partkey"))
-        .join(placed.hint("merge"), F.col("l_orderkey") == order)
-        .select(
-            "Order ID",
-            "Order Date",
-            F.date_format("l_shipdate", us_date).alias("Ship Date"),
-            *(f"`{c}`" for c in placed.columns[3:]),
-            "Product ID",
-            "Category",
-            "Sub-Category",
-            "Product Name",
-            "List Price",
-            "cost price",
-            F.when(F.col("l_orderkey") % 103 == 0, "x").otherwise(quantity).alias("Quantity"),
+            product.cast("string").alias("Product ID"),
+            F.col("p_type").alias("Category"),
+            F.col("p_brand").alias("Sub-Category"),
+            F.col("p_name").alias("Product Name"),
+            _money("p_retailprice").cast("string").alias("List Price"),
+            cost.cast("string").alias("cost price"),
+            F.when(order % 103 == 0, "x").otherwise(quantity).alias("Quantity"),
             F.when(product % 13 != 0, percent).alias("Discount Percent"),
             F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
         )

@@ -14,7 +14,7 @@ from ..operators.append import continued
 from ..operators.clustering import clustered
 from ..operators.quality import typed_check
 from ..schemas import PRIMARY_KEYS, TABLES, Star
-from .scratch import delete, written
+from .scratch import delete, shuffles_removed, written
 
 # Derived from the order date; folders of this name let date filters skip whole years.
 YEAR = "order_year"
@@ -64,7 +64,8 @@ def _store(star: Star, folder: str, fmt: str, mode: str, layout: str) -> None:
             writer = writer.partitionBy(YEAR)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
-        writer.mode(mode).format(fmt).save(f"{folder}/{name}")
+        with shuffles_removed(table.sparkSession):
+            writer.mode(mode).format(fmt).save(f"{folder}/{name}")
 
 
 def committed_batches(spark: SparkSession, folder: str) -> DataFrame:
