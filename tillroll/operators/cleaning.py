@@ -170,16 +170,19 @@ def apply_types(df: DataFrame) -> DataFrame:
     return df.select(*known, *(F.col(f"`{c}`") for c in sorted(set(df.columns) - done)))
 
 
-def number_lines(df: DataFrame) -> DataFrame:
+def number_lines(
+    df: DataFrame, kept: Callable[[DataFrame], DataFrame] = lambda lines: lines
+) -> DataFrame:
     """``order_line_id`` 1..N by order date, order, product and all further columns.
 
     Spark has no file order; this total order makes ids reproducible. Writes one
-    intermediate table, from which everything downstream reads.
+    intermediate table, from which everything downstream reads. Only lines that the filter
+    ``kept`` leaves are numbered.
     """
     order = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns]
     if df.columns[0] == "order_date":
-        return numbered_by_lead(df, "order_line_id", "order_date", order)
-    return numbered(df, "order_line_id", order)
+        return numbered_by_lead(df, "order_line_id", "order_date", order, kept)
+    return numbered(kept(df), "order_line_id", order)
 
 
 def add_customer_key(df: DataFrame, spread: bool = False) -> DataFrame:
@@ -355,7 +358,7 @@ def finished(distinct: DataFrame, scale: str = "auto", spread: bool = False) ->
     keyed = "customer_id" in distinct.columns
     named = "customer_name" in distinct.columns
     lines = _declared(distinct, scale).drop(_COPIES, _MALFORMED_COPIES, _FILE)
-    lines = lines.transform(drop_incomplete).transform(number_lines)
+    lines = number_lines(lines, drop_incomplete)
     if keyed:
         return lines
     if named:

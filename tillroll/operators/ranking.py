@@ -8,7 +8,7 @@ segment. The number of segments is at most ``spark.sql.shuffle.partitions``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -85,21 +85,31 @@ def numbered(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
     return rows.select(*df.columns, (_rank() + 1).alias(name))
 
 
-def numbered_by_lead(df: DataFrame, name: str, lead: str, order: Sequence[Column]) -> DataFrame:
+def numbered_by_lead(
+    df: DataFrame,
+    name: str,
+    lead: str,
+    order: Sequence[Column],
+    kept: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """``numbered`` for an ``order`` that begins with the column ``lead``, rising and NULL last.
 
     All rows with one value of ``lead`` go to the same task by its hash and are sorted there, so no
     boundaries are sampled, which takes a further pass over whole rows. Rows per value are counted
     first: if one value has more than a quarter of a partition's share, rows are spread by range
-    instead. A large table is sorted in two rounds, each with its share of the values. One row per value is ranked in one task and broadcast, so ``lead`` should be a date or the like.
+    instead. A large table is sorted in two rounds, each with its share of the values; only the rows that
+    ``kept`` leaves are numbered, a filter that is made for a round's own share alone. One row per value is ranked in one task and broadcast, so ``lead`` should be a date or the like.
     """
-    rows, largest = df.groupBy(lead).agg(F.count("*").alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
+    rows, largest = kept(df).groupBy(lead).agg(F.count("*").alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if largest is None or 4 * largest * partitions > rows:
-        return numbered(df, name, order)
+        return numbered(kept(df), name, order)
     slot = F.monotonically_increasing_id()
     parts = [
-        df.filter(share).repartition(F.col(lead)).sortWithinPartitions(*order).withColumn("_slot", slot)
+        kept(df.filter(share))
+        .repartition(F.col(lead))
+        .sortWithinPartitions(*order)
+        .withColumn("_slot", slot)
         for share in in_rounds(df, F.col(lead))
     ]
     placed = reduce(DataFrame.unionByName, [written(part, "numbered") for part in parts])
